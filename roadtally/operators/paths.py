@@ -13,7 +13,13 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from roadtally.operators.graph import graph_nodes
-from roadtally.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage, fits
+from roadtally.session import (
+    BROADCAST_ROWS,
+    broadcast_if_small,
+    cut_and_measure,
+    cut_lineage,
+    fits,
+)
 
 # The two routes that are compared and the edge column each minimises.
 SHORTEST = "shortest_distance"
@@ -31,16 +37,13 @@ def require_nodes(edges: DataFrame, wanted: DataFrame, column: str) -> None:
 
 
 def _arcs(edges: DataFrame, costs: dict[str, str]) -> DataFrame:
-    """Usable arcs with one cost per metric, materialised; negative or missing costs are errors."""
-    arcs = cut_lineage(
-        edges.where("src <> dst").select(
-            "src", "dst", *[F.col(c).cast("double").alias(m) for m, c in costs.items()]
-        )
+    """Arcs with one cost per metric, materialised; a negative or missing cost is an error."""
+    arcs, wrong = cut_and_measure(
+        edges.select("src", "dst", *[F.col(c).cast("double").alias(m) for m, c in costs.items()]),
+        **{m: F.count_if(~F.coalesce(F.col(m) >= 0, F.lit(False))) for m in costs},
     )
-    usable = [F.coalesce(F.col(m) >= 0, F.lit(False)) for m in costs]
-    wrong = arcs.agg(*[F.count_if(~ok).alias(m) for m, ok in zip(costs, usable)]).first()
-    if any(wrong):
-        raise ValueError(f"negative or missing costs: {wrong.asDict()}")
+    if any(wrong.values()):
+        raise ValueError(f"negative or missing costs: {wrong}")
     return arcs
 
 
@@ -53,39 +56,38 @@ def shortest_paths(
     Each round relaxes only the arcs that leave rows improved in the round before, and merges
     with one aggregation whose map-side part reduces arcs into a busy node.  The improved rows
     are broadcast to the arcs while they are few; beyond that it is a shuffle join, and AQE
-    splits the arcs of a node that has very many.  Rounds are bounded by the longest best path.
+    splits the arcs of a node that has very many.  Rounds are bounded by the longest best path,
+    and each costs one job besides the broadcast: the write of the new state also counts it.
     """
-    require_nodes(edges, sources, "source")
     arcs = _arcs(edges, costs)
+    require_nodes(arcs, sources, "source")
+    arcs = arcs.where("src <> dst")
     step_cost = F.lit(None).cast("double")
     for metric in costs:
         step_cost = F.when(F.col("metric") == metric, F.col(metric)).otherwise(step_cost)
 
-    best = F.struct("dist", "hops", "pred", "round")
-    state = cut_lineage(
-        sources.select("source")
-        .distinct()
-        .select(
-            "source",
-            F.explode(F.array(*[F.lit(m) for m in costs])).alias("metric"),
-            F.col("source").alias("node"),
-            F.struct(
-                F.lit(0.0).alias("dist"),
-                F.lit(0).alias("hops"),
-                F.lit(None).cast("string").alias("pred"),
-                F.lit(0).alias("round"),
-            ).alias("best"),
-        )
+    start = F.struct(
+        F.lit(0.0).alias("dist"),
+        F.lit(0).alias("hops"),
+        F.lit(None).cast("string").alias("pred"),
+        F.lit(0).alias("round"),
+    )
+    state = sources.select("source").distinct().select(
+        "source",
+        F.explode(F.array(*[F.lit(m) for m in costs])).alias("metric"),
+        F.col("source").alias("node"),
+        start.alias("best"),
     )
     turn = 0
     while True:
-        improved = state.where(F.col("best.round") == turn)
-        size = improved.limit(BROADCAST_ROWS + 1).count()
-        if size == 0:
+        newest = F.col("best.round") == turn
+        state, seen = cut_and_measure(state, improved=F.count_if(newest))
+        if seen["improved"] == 0:
             break
-        turn += 1
-        if size <= BROADCAST_ROWS:
+        improved = state.where(newest)
+        if seen["improved"] <= BROADCAST_ROWS:
             improved = F.broadcast(improved)
+        turn += 1
         reached = improved.join(arcs, F.col("node") == F.col("src")).select(
             "source",
             "metric",
@@ -97,9 +99,7 @@ def shortest_paths(
                 F.lit(turn).alias("round"),
             ).alias("best"),
         )
-        state = cut_lineage(
-            state.unionByName(reached).groupBy(*TREE_KEYS).agg(F.min("best").alias("best"))
-        )
+        state = state.unionByName(reached).groupBy(*TREE_KEYS).agg(F.min("best").alias("best"))
     return state.select(*TREE_KEYS, "best.dist", "best.hops", "best.pred")
 
 

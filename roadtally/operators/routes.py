@@ -63,6 +63,7 @@ def find_routes(
     ``pairs`` has a ``reachable`` flag; ``routes`` holds both routes of every reachable pair.
     """
     spark = edges.sparkSession
+    edges = cut_lineage(edges)
     starts = spark.createDataFrame([(s,) for s in sources], "source string")
     if targets is None:
         wanted = all_targets(edges, sources, max_targets)

@@ -83,7 +83,6 @@ _DOUBLES = [
 
 @query(
     f"""WITH RECURSIVE {ROUTES},
-nodes_all AS (SELECT src AS to_node FROM edges UNION SELECT dst FROM edges),
 summary AS (
   SELECT from_node, to_node, {_side('short')}, {_side('avoid')},
          count(*) FILTER (WHERE {_GONE}) AS explain_removed_edges,
@@ -91,7 +90,7 @@ summary AS (
            AS explain_removed_risky_edges,
          count(*) FILTER (WHERE avoid_step IS NOT NULL AND short_step IS NULL) AS added_edges
   FROM pair_edges GROUP BY 1, 2)
-SELECT '{SOURCE}' AS from_node, n.to_node, s.to_node IS NOT NULL AS reachable,
+SELECT from_node, to_node,
        {', '.join(f'round({c}, 6) AS {c}' for c in _DOUBLES)},
        short_n_edges, avoid_n_edges, short_hot_edges, avoid_hot_edges,
        explain_removed_edges, explain_removed_risky_edges, added_edges,
@@ -105,15 +104,15 @@ SELECT '{SOURCE}' AS from_node, n.to_node, s.to_node IS NOT NULL AS reachable,
        CASE WHEN explain_removed_edges = 0 THEN 'No change (same path)'
             WHEN explain_removed_risky_edges > 0 THEN
               'Avoid-route changed to bypass higher-risk edges on the shortest route.'
-            WHEN s.to_node IS NOT NULL THEN 'Avoid-route changed, but removed edges were not '
-              || 'above threshold (graph tie/alternative equal cost).' END AS explain_reason
-FROM nodes_all n LEFT JOIN summary s ON s.to_node = n.to_node
-WHERE n.to_node <> '{SOURCE}'"""
+            ELSE 'Avoid-route changed, but removed edges were not above threshold '
+              || '(graph tie/alternative equal cost).' END AS explain_reason
+FROM summary"""
 )
 def route_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All columns but the text of the top five, whose third decimals may tie."""
+    """Reached pairs; all columns but the text of the top five, whose third decimals may tie."""
     pairs, found = _found(spark, sf_dir)
-    return rounded(routes.compare_routes(pairs, found).drop("explain_removed_risky_top5"))
+    compared = routes.compare_routes(pairs, found).where("reachable")
+    return rounded(compared.drop("reachable", "explain_removed_risky_top5"))
 
 
 def _changes(where: str, step: str) -> str:

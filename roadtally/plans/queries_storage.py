@@ -24,7 +24,8 @@ def csv_string_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "raw")
     raw = snake_columns(stand_ins.raw_counts(spark, sf_dir))
     nested = raw.withColumns({"region": F.lit("London"), "in_year": F.col("year")})
-    nested.write.partitionBy("region", "in_year").option("header", True).csv(path)
+    writer = nested.write.partitionBy("region", "in_year").options(**sinks.CSV_OPTIONS)
+    writer.csv(path)
     return readers.csv_strings(spark, path)
 
 
@@ -37,7 +38,7 @@ def csv_quoted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "quoted")
     label = F.concat(F.lit('a "'), "p_name", F.lit('", '), "p_brand").alias("label")
     rows = table(spark, sf_dir, "part").select("p_partkey", label)
-    rows.write.option("header", True).option("escape", '"').option("compression", "gzip").csv(path)
+    rows.write.options(**sinks.CSV_OPTIONS).option("compression", "gzip").csv(path)
     return readers.csv_quoted(spark, path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 # A build side of at most this many narrow rows is some tens of MB per executor.
 BROADCAST_ROWS = 1_000_000
@@ -40,6 +40,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_and_measure(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+    """:func:`cut_lineage`, with aggregates over the rows gathered by the same job."""
+    seen = Observation()
+    cut = cut_lineage(df.observe(seen, *[c.alias(name) for name, c in measures.items()]))
+    return cut, seen.get
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 

@@ -12,6 +12,14 @@ from roadtally.session import fits
 # A result of at most this many rows may be written by a single task.
 SINGLE_FILE_ROWS = 100_000
 
+# Headers, doubled quotes, and no trimming of spaces on the way out.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
 def write_months(df: DataFrame, path: str, keys: Sequence[str] = ("p_year", "p_month")) -> None:
     """Partitioned Parquet; a re-run replaces only the months it holds.
@@ -70,7 +78,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header per part file, or one file if the rows are few enough."""
     if single_file and fits(df, SINGLE_FILE_ROWS):
         df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_metadata(counts: DataFrame, path: str, **parameters) -> None:

@@ -7,6 +7,7 @@ import sys
 import time
 
 import duckdb
+import numpy as np
 import pandas as pd
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -34,7 +35,7 @@ def _canonical(df: pd.DataFrame) -> pd.DataFrame:
 
 
 def _cell(value) -> str:
-    if isinstance(value, bool):
+    if isinstance(value, (bool, np.bool_)):
         return str(value)
     if hasattr(value, "isoformat"):
         return pd.Timestamp(value).isoformat()
