@@ -18,6 +18,8 @@ SEVERITY_SCORES = {"Severe": 3.0, "Serious": 2.0, "Moderate": 1.0, "Minor": 1.0}
 
 NUMBER_PATTERN = r"^-?\d+(\.\d+)?$"
 
+DECIMAL_PATTERN = r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"
+
 
 def null_if_token(name: str, fold_case: bool = False) -> Column:
     """NULL for a null token, else the value as it stands, spaces included."""
@@ -26,24 +28,40 @@ def null_if_token(name: str, fold_case: bool = False) -> Column:
     return F.when(~hit, F.col(name)).alias(name)
 
 
-def null_tokens(df: DataFrame, fold_case: bool = False) -> DataFrame:
-    """Apply :func:`null_if_token` to every string column in one projection."""
+def null_tokens(
+    df: DataFrame, fold_case: bool = False, leave: Sequence[str] = ()
+) -> DataFrame:
+    """Apply :func:`null_if_token` in one projection to every string column not to be left."""
     return df.select(
-        *[null_if_token(c, fold_case) if t == "string" else F.col(c) for c, t in df.dtypes]
+        *[
+            null_if_token(c, fold_case) if t == "string" and c not in leave else F.col(c)
+            for c, t in df.dtypes
+        ]
     )
 
 
-def to_number(name: str, to: str = "double") -> Column:
-    """``"7.0"`` is a whole 7; integers are read through double for that reason."""
-    col = F.col(name)
+def as_number(text: Column, to: str = "double") -> Column:
+    """Text as a number, else NULL; null tokens are no numbers, ``"7.0"`` is a whole 7.
+
+    A failing cast costs an exception per row, so text that is no number is sorted out by
+    pattern first.  Whole numbers pass through an exact decimal, not through double.
+    """
     if to in ("int", "bigint"):
-        return F.coalesce(col.try_cast(to), col.try_cast("double").try_cast(to))
-    return col.try_cast(to)
+        value = text.try_cast("decimal(38,6)").try_cast(to)
+    else:
+        value = text.try_cast(to)
+    return F.when(text.rlike(DECIMAL_PATTERN), value)
+
+
+def to_number(df: DataFrame, name: str, to: str = "double") -> Column:
+    """The column as a number, whether it is text or a number already."""
+    col = F.col(name)
+    return as_number(col, to) if dict(df.dtypes)[name] == "string" else col.try_cast(to)
 
 
 def plain_number(name: str) -> Column:
     """The text without thousands separators."""
-    return F.regexp_replace(F.col(name), ",", "")
+    return F.translate(F.col(name), ",", "")
 
 
 def parse_time(col: Column, formats: Sequence[str]) -> Column:
@@ -55,22 +73,24 @@ def parse_event_time(name: str) -> Column:
     return F.coalesce(F.try_to_timestamp(text), parse_time(text, EVENT_FORMATS))
 
 
+def _by_layout(date_text: Column, text: Column, suffix: str) -> Column:
+    """ISO where the date has a dash, day first elsewhere; only one layout is tried."""
+    iso = F.try_to_timestamp(text, F.lit("yyyy-MM-dd" + suffix))
+    day_first = F.try_to_timestamp(text, F.lit("dd/MM/yyyy" + suffix))
+    return F.when(F.contains(date_text, F.lit("-")), iso).otherwise(day_first)
+
+
 def parse_date(name: str) -> Column:
-    """ISO or day-first dates."""
+    """ISO or day-first dates; an ISO date may carry a time."""
     text = F.col(name).cast("string")
-    return F.coalesce(
-        F.try_to_timestamp(text).cast("date"), parse_time(text, ["dd/MM/yyyy"]).cast("date")
-    )
+    return _by_layout(text, F.substring(F.trim(text), 1, 10), "").cast("date")
 
 
-def hour_timestamp(date_name: str, hour_name: str) -> Column:
+def hour_timestamp(df: DataFrame, date_name: str, hour_name: str) -> Column:
     """Date and hour joined; dates may be ISO or day-first, hours may be ``7`` or ``7.0``."""
     date_text = F.col(date_name).cast("string")
-    hour = F.lpad(to_number(hour_name, "int").cast("string"), 2, "0")
-    joined = F.concat(date_text, F.lit(" "), hour)
-    return F.when(
-        F.contains(date_text, F.lit("-")), F.try_to_timestamp(joined, F.lit("yyyy-MM-dd HH"))
-    ).otherwise(F.try_to_timestamp(joined, F.lit("dd/MM/yyyy HH")))
+    hour = F.lpad(to_number(df, hour_name, "int").cast("string"), 2, "0")
+    return _by_layout(date_text, F.concat(date_text, F.lit(" "), hour), " HH")
 
 
 def severity_score(name: str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from roadtally.functions.columns import require_columns, snake_columns
 from roadtally.functions.parsing import (
     NUMBER_PATTERN,
+    as_number,
     null_tokens,
     parse_date,
     plain_number,
@@ -23,15 +24,20 @@ TEXT_NAME_PARTS = ("road_name", "junction", "location", "name", "code", "region"
 
 
 def clean_counts(raw: DataFrame) -> DataFrame:
-    """Typed counts with the month keys; rows lacking a required value are dropped."""
-    df = require_columns(null_tokens(snake_columns(raw)), REQUIRED_COUNTS)
+    """Typed counts with the month keys; rows lacking a required value are dropped.
+
+    Parsing alone turns a null token into NULL, so only columns that stay text are searched
+    for tokens.  That keeps the generated code small enough to be compiled.
+    """
+    df = require_columns(snake_columns(raw), REQUIRED_COUNTS)
     typed = {"count_date": parse_date("count_date")}
     for name, to in COUNT_TYPES.items():
         if name in df.columns:
-            typed[name] = to_number(name, to)
+            typed[name] = to_number(df, name, to)
         elif name in OPTIONAL_COUNTS:
             typed[name] = F.lit(None).cast(to)
-    return month_keys(df.withColumns(typed).dropna(subset=list(REQUIRED_COUNTS)), "count_date")
+    parsed = null_tokens(df, leave=list(typed)).withColumns(typed)
+    return month_keys(parsed.dropna(subset=list(REQUIRED_COUNTS)), "count_date")
 
 
 def month_keys(df: DataFrame, date_col: str) -> DataFrame:
@@ -59,21 +65,25 @@ def numeric_ratios(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
     )
 
 
-def promote_numbers(
+def numeric_columns(
     df: DataFrame, at_least: float = 0.8, sample_rows: int | None = None
-) -> DataFrame:
-    """Turn text columns that are mostly numbers into doubles."""
+) -> list[str]:
     ratios = numeric_ratios(df, sample_rows).first().asDict()
-    numeric = [c for c, r in ratios.items() if r is not None and r >= at_least]
-    return df.withColumns({c: plain_number(c).try_cast("double") for c in numeric})
+    return [c for c, r in ratios.items() if r is not None and r >= at_least]
 
 
 def clean_any(
     raw: DataFrame, region: str, at_least: float = 0.8, sample_rows: int | None = None
 ) -> DataFrame:
-    """Clean a file of unknown layout: names, null tokens, numbers by content, region."""
-    df = null_tokens(snake_columns(raw), fold_case=True)
-    return promote_numbers(df, at_least, sample_rows).withColumn("region", F.lit(region))
+    """Clean a file of unknown layout: names, null tokens, numbers by content, region.
+
+    Text columns that are mostly numbers become doubles.
+    """
+    named = snake_columns(raw)
+    numeric = numeric_columns(null_tokens(named, fold_case=True), at_least, sample_rows)
+    typed = {c: as_number(plain_number(c)) for c in numeric}
+    rows = null_tokens(named, fold_case=True, leave=numeric).withColumns(typed)
+    return rows.withColumn("region", F.lit(region))
 
 
 def tag_region(df: DataFrame, region: str) -> DataFrame:
@@ -85,7 +95,7 @@ def region_extract(raw: DataFrame, region: str, first_year: int) -> DataFrame:
     """One region's recent rows of the national file, in the columns that are used."""
     df = snake_columns(raw).withColumnRenamed("local_authority_name", "local_authority")
     rows = df.where(
-        (F.col("region_name") == region) & (F.col("year").try_cast("int") >= first_year)
+        (F.col("region_name") == region) & (to_number(df, "year", "int") >= first_year)
     )
     return rows.select(*[c for c in REGION_COLUMNS if c in df.columns])
 

@@ -13,7 +13,7 @@ from roadtally.functions.columns import (
     TO_NAMES,
     resolve_column,
 )
-from roadtally.functions.parsing import clip
+from roadtally.functions.parsing import clip, to_number
 
 # Penalty strength and the shortest link kept.
 ALPHA = 2.0
@@ -42,7 +42,7 @@ def clean_links(
     found = {r: resolve_column(df.columns, names, given.get(r)) for r, names in roles.items()}
     links = df.select(
         *[F.trim(F.col(found[r]).cast("string")).alias(r) for r in ("src", "dst")],
-        *[F.col(found[r]).try_cast("double").alias(r) for r in ("lon", "lat", "length_km")],
+        *[to_number(df, found[r]).alias(r) for r in ("lon", "lat", "length_km")],
     ).where((F.col("src") != "") & (F.col("dst") != "") & (F.col("length_km") >= min_length_km))
     return links.dropna(subset=["lon", "lat"]) if drop_missing_coords else links
 
@@ -113,7 +113,7 @@ def weight_edges(
         raise ValueError("alpha must not be negative: weights could drop below zero")
     src = resolve_column(rates.columns, ("src", *FROM_NAMES))
     dst = resolve_column(rates.columns, ("dst", *TO_NAMES))
-    rate = F.col(resolve_column(rates.columns, RATE_NAMES)).try_cast("double")
+    rate = to_number(rates, resolve_column(rates.columns, RATE_NAMES))
     clipped = rates.select(
         F.col(src).alias("src"),
         F.col(dst).alias("dst"),

@@ -82,8 +82,8 @@ def tolerant_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
         rows.select(
             "c_custkey",
-            parsing.plain_number("balance_text").try_cast("double").alias("balance"),
-            parsing.to_number("nation_text", "int").alias("nation"),
+            parsing.as_number(parsing.plain_number("balance_text")).alias("balance"),
+            parsing.to_number(rows, "nation_text", "int").alias("nation"),
             F.lit(None).cast("double").alias("absent"),
         )
     )
@@ -124,9 +124,7 @@ SELECT count_point_id::DOUBLE AS count_point_id, count_date, hour::DOUBLE AS hou
 FROM raw_counts"""
 )
 def clean_unknown_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers are found by content; a few NaN lengths parse as the number NaN and are nulled."""
-    df = cleaning.clean_any(stand_ins.raw_counts(spark, sf_dir), "London")
-    return df.withColumn("link_length_km", F.nullif(F.col("link_length_km"), F.lit(float("nan"))))
+    return cleaning.clean_any(stand_ins.raw_files(spark, sf_dir), "London")
 
 
 @query(
@@ -135,7 +133,7 @@ SELECT *, year(count_date)::INT AS p_year, strftime(count_date, '%m') AS p_month
 FROM clean_counts"""
 )
 def clean_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_counts(stand_ins.raw_counts(spark, sf_dir))
+    return cleaning.clean_counts(stand_ins.raw_files(spark, sf_dir))
 
 
 @query(
@@ -160,7 +158,7 @@ def mixed_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = snake_columns(stand_ins.raw_counts(spark, sf_dir)).select(
         "count_point_id", "count_date", "hour"
     )
-    rows = rows.withColumn("ts_hour", parsing.hour_timestamp("count_date", "hour"))
+    rows = rows.withColumn("ts_hour", parsing.hour_timestamp(rows, "count_date", "hour"))
     return cleaning.month_keys(rows.where(F.col("ts_hour").isNotNull()), "ts_hour")
 
 

@@ -21,12 +21,7 @@ RUN = "20260101T000000Z"
 @query(f"WITH {RAW_COUNTS} SELECT * FROM raw_counts")
 def csv_string_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text columns from part files below ``region=`` and ``year=`` folders."""
-    path = scratch_path(spark, "raw")
-    raw = snake_columns(stand_ins.raw_counts(spark, sf_dir))
-    nested = raw.withColumns({"region": F.lit("London"), "in_year": F.col("year")})
-    writer = nested.write.partitionBy("region", "in_year").options(**sinks.CSV_OPTIONS)
-    writer.csv(path)
-    return readers.csv_strings(spark, path)
+    return snake_columns(stand_ins.raw_files(spark, sf_dir))
 
 
 @query(
@@ -86,7 +81,7 @@ FROM clean_counts WHERE year(count_date) = 1999"""
 def month_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written by month twice over; the filter on the year reads that year's folders only."""
     path = scratch_path(spark, "silver")
-    clean = cleaning.clean_counts(stand_ins.raw_counts(spark, sf_dir))
+    clean = cleaning.clean_counts(stand_ins.raw_files(spark, sf_dir))
     sinks.write_months(clean, path)
     sinks.write_months(clean.where("p_year = 1999"), path)
     columns = ["count_point_id", "count_date", "hour", "all_motor_vehicles", "p_year"]

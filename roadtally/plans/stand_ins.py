@@ -14,6 +14,9 @@ from roadtally.operators.graph import clean_links, edge_table, weight_edges
 from roadtally.operators.hotspots import edge_rates
 from roadtally.operators.series import hourly_totals
 from roadtally.plans.registry import table
+from roadtally.session import scratch_path
+from roadtally.sources.readers import csv_strings
+from roadtally.sources.sinks import CSV_OPTIONS
 
 # ---- hourly series -----------------------------------------------------------------------
 
@@ -136,6 +139,15 @@ def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw counts as nested CSV files, written to the shared folder and scanned as text."""
+    path = scratch_path(spark, "raw")
+    folders = {"region": F.lit("London"), "in_year": F.col("year")}
+    nested = raw_counts(spark, sf_dir).withColumns(folders).hint("rebalance", "in_year")
+    nested.write.partitionBy(*folders).options(**CSV_OPTIONS).csv(path)
+    return csv_strings(spark, path)
+
+
 RAW_COUNTS = """raw_counts AS (
   SELECT l_partkey::VARCHAR AS count_point_id,
          CASE WHEN l_linestatus = 'O' THEN strftime(l_shipdate, '%Y-%m-%d')
