@@ -43,10 +43,20 @@ def csv_typed(spark: SparkSession, path: str, schema: T.StructType | str | None
 
 
 def parquet_files(
-    spark: SparkSession, path: str, recursive: bool = True, skip_corrupt: bool = False
+    spark: SparkSession,
+    path: str,
+    recursive: bool = True,
+    skip_corrupt: bool = False,
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """Only ``*.parquet`` below ``path``, whatever else lies there."""
+    """Only ``*.parquet`` below ``path``, whatever else lies there.
+
+    Skipping corrupt files loses their rows silently, so it must be asked for; give a schema
+    with it, as the file it would be read from may be a corrupt one.
+    """
     reader = spark.read.option("pathGlobFilter", "*.parquet")
+    if schema is not None:
+        reader = reader.schema(schema)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     if skip_corrupt:
