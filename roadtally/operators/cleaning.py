@@ -16,6 +16,7 @@ from roadtally.functions.parsing import (
     plain_number,
     to_number,
 )
+from roadtally.operators.quantiles import exact_quantiles
 from roadtally.schemas import COUNT_TYPES, OPTIONAL_COUNTS, REGION_COLUMNS, REQUIRED_COUNTS
 from roadtally.session import broadcast_if_small
 
@@ -108,13 +109,8 @@ def drop_negative(df: DataFrame, value: str) -> DataFrame:
 
 
 def cap_by_key(df: DataFrame, key: str, value: str, q: float = 0.995) -> DataFrame:
-    """Cap each value at its key's quantile.
-
-    Quantile sketches merge map-side, so a key holding a large share of the rows costs one
-    sketch per task.  The table of caps is broadcast if there are few keys.
-    """
-    caps = df.groupBy(key).agg(F.percentile_approx(value, q).alias("cap"))
-    caps = broadcast_if_small(caps, sized_by=df.select(key).distinct())
+    """Cap each value at its key's exact quantile; the caps are broadcast if keys are few."""
+    caps = broadcast_if_small(exact_quantiles(df, key, value, q, "cap"))
     return df.join(caps, key, "left").withColumn(value, F.least(value, "cap")).drop("cap")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from roadtally.session import broadcast_if_small
+from roadtally.session import broadcast_if_small, cut_lineage
 
 MIN_TIMES = 10
 
@@ -17,14 +17,14 @@ def numbered_times(df: DataFrame, ts: str) -> DataFrame:
     the table of days, one row per calendar day, is ever ordered as a whole.
     """
     times = df.where(F.col(ts).isNotNull()).select(F.col(ts).cast("timestamp").alias("t")).distinct()
-    dated = times.withColumn("day", F.to_date("t"))
+    dated = cut_lineage(times.withColumn("day", F.to_date("t")))
     per_day = dated.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     shifts = per_day.select(
         "day", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("shift")
     )
     in_day = Window.partitionBy("day").orderBy("t")
-    return dated.join(broadcast_if_small(shifts, sized_by=per_day), "day").select(
+    return dated.join(broadcast_if_small(shifts), "day").select(
         "t", (F.col("shift") + F.row_number().over(in_day) - 1).alias("place")
     )
 
@@ -35,7 +35,8 @@ def walkforward_folds(df: DataFrame, ts: str, n_folds: int = 3, test_days: int =
     Cuts lie at even places in the list of observed timestamps, so ``test_days`` means
     24 observed timestamps a day, however far apart they lie.
     """
-    n = df.where(F.col(ts).isNotNull()).select(F.col(ts).cast("timestamp")).distinct().count()
+    times = numbered_times(df, ts)
+    n = times.count()
     if n < MIN_TIMES:
         raise ValueError(f"{n} distinct timestamps in {ts}; at least {MIN_TIMES} are needed")
     cuts = []
@@ -54,7 +55,7 @@ def walkforward_folds(df: DataFrame, ts: str, n_folds: int = 3, test_days: int =
             )
         ),
     )
-    hits = numbered_times(df, ts).join(F.broadcast(ends), "place")
+    hits = times.join(F.broadcast(ends), "place")
     return hits.groupBy("fold").agg(
         F.max(F.when(F.col("end") == "train", F.col("t"))).alias("train_end"),
         F.max(F.when(F.col("end") == "test", F.col("t"))).alias("test_end"),

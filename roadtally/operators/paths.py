@@ -146,7 +146,7 @@ def path_steps(tree: DataFrame, targets: DataFrame) -> DataFrame:
     starts = ends.join(broadcast_if_small(targets.distinct()), ["source", "target"])
     links = tree.where("pred is not null").select(*TREE_KEYS, F.col("pred").alias("up"))
     nodes = climb(starts, links, keys, longest).drop("offset")
-    return nodes.join(broadcast_if_small(tree), list(TREE_KEYS)).where("hops > 0").select(
+    return nodes.join(broadcast_if_small(tree, stored=True), list(TREE_KEYS)).where("hops > 0").select(
         "source",
         "target",
         "metric",

@@ -36,10 +36,14 @@ TOP_RISKY = 5
 
 
 def with_edge_values(steps: DataFrame, edges: DataFrame) -> DataFrame:
-    """Look up each step's edge; a missing weight is the length, a missing penalty the rest."""
+    """Look up each step's edge in a stored table.
+
+    A missing weight is the length, a missing penalty is what weight and length differ by.
+    """
     values = ["length_km", "hotspot_rate", "weight_km", "penalty_km"]
     have = [c for c in values if c in edges.columns]
-    rows = steps.join(broadcast_if_small(edges.select("src", "dst", *have)), ["src", "dst"], "left")
+    looked_up = broadcast_if_small(edges.select("src", "dst", *have), stored=True)
+    rows = steps.join(looked_up, ["src", "dst"], "left")
     given = {c: F.col(c) if c in have else F.lit(None).cast("double") for c in values}
     length = F.coalesce(given["length_km"], F.lit(0.0))
     weight = F.coalesce(given["weight_km"], length)

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window, WindowSpec
 from roadtally.functions.columns import series_and_volume
 from roadtally.functions.parsing import severity_score
 from roadtally.operators.cleaning import tag_region
-from roadtally.session import broadcast_if_small, fits
+from roadtally.session import broadcast_if_small, cut_and_measure
 
 LAGS = (1, 2, 24)
 ROLL_ROWS = 24
@@ -72,14 +72,19 @@ def sequence_features(
     plain = _row_features(whole, value, lags, roll, horizon)
     if split_above is None:
         return df.withColumns(plain)
-    hot = df.groupBy(series).count().where(F.col("count") > split_above)
-    if fits(hot, 0):
+    hot, seen = cut_and_measure(
+        df.groupBy(F.col(series).alias("_hot"))
+        .count()
+        .where(F.col("count") > split_above)
+        .select("_hot", F.lit(True).alias("_is_hot")),
+        n=F.count(F.lit(1)),
+    )
+    if seen["n"] == 0:
         return df.withColumns(plain)
 
-    hot = hot.select(F.col(series).alias("_hot"), F.lit(True).alias("_is_hot"))
     stretch = F.when(F.col("_is_hot"), F.date_trunc(split_unit, order[0]))
     cut = (
-        df.join(broadcast_if_small(hot), F.col(series).eqNullSafe(F.col("_hot")), "left")
+        df.join(broadcast_if_small(hot, stored=True), F.col(series).eqNullSafe(F.col("_hot")), "left")
         .withColumn("_stretch", stretch)
         .drop("_hot", "_is_hot")
     )

@@ -52,10 +52,14 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 
 
 def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, sized_by: DataFrame | None = None
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, stored: bool = False
 ) -> DataFrame:
     """Hint a broadcast when ``df`` is shown to be small, else leave the join to AQE.
 
-    ``sized_by`` is a cheaper frame with as many rows as ``df``, counted in its place.
+    A table made by aggregation is computed once: the job that stores it counts it as well.
+    ``stored`` says that ``df`` reads a stored table, so that counting it is cheap.
     """
-    return F.broadcast(df) if fits(df if sized_by is None else sized_by, max_rows) else df
+    if stored:
+        return F.broadcast(df) if fits(df, max_rows) else df
+    kept, seen = cut_and_measure(df, n=F.count(F.lit(1)))
+    return F.broadcast(kept) if seen["n"] <= max_rows else kept

@@ -10,6 +10,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from roadtally.operators import folds, hotspots, learning, metrics
+from roadtally.operators.quantiles import exact_quantiles
 
 START = dt.datetime(2024, 1, 1)
 
@@ -147,3 +148,19 @@ def test_flag_quality(spark):
     assert (row.tp, row.fp, row.fn, row.tn, row.f1) == (1, 1, 1, 1, 0.5)
     assert metrics.flag_auc(df, "p", "t") == pytest.approx(0.75)
     assert metrics.reliability_curve(df, "p", "t").count() == 4
+
+
+@pytest.mark.parametrize("q", [0.0, 0.2, 0.5, 0.6, 0.995, 1.0])
+def test_exact_quantiles(spark, q):
+    """Against sorting; one key has more rows than a sketch keeps apart, one has ties only."""
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 20 == 0, F.col("id") % 7).otherwise(-1).alias("k"),
+        F.when(F.col("id") % 20 == 0, F.lit(1.5)).otherwise(F.pmod(F.hash("id"), F.lit(30_011)) / 4).alias("v"),
+    )
+    df = df.unionAll(spark.createDataFrame([(9, 2.0), (9, 1.0), (9, None), (10, None)], "k int, v double"))
+    want = {}
+    for k, v in df.where("v is not null").collect():
+        want.setdefault(k, []).append(v)
+    want = {k: sorted(vs)[max(math.ceil(q * len(vs) - 1e-9), 1) - 1] for k, vs in want.items()}
+    got = {r.k: r.top for r in exact_quantiles(df, "k", "v", q, "top").collect()}
+    assert got == want

@@ -122,8 +122,9 @@ def test_size_checks(spark):
     df = spark.range(11)
     assert fits(df, 11) and not fits(df, 10)
     plan = lambda d: d._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(df.join(broadcast_if_small(df, 11), "id"))
-    assert "broadcast" not in plan(df.join(broadcast_if_small(df, 10), "id"))
+    for stored in (True, False):
+        assert "broadcast" in plan(df.join(broadcast_if_small(df, 11, stored), "id"))
+        assert "broadcast" not in plan(df.join(broadcast_if_small(df, 10, stored), "id"))
 
 
 def test_scratch_paths_differ(spark):
