@@ -8,6 +8,7 @@ afterwards for the wanted targets, in a number of joins logarithmic in the longe
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
@@ -28,6 +29,11 @@ ROUTE_COSTS = {SHORTEST: "length_km", AVOIDING: "weight_km"}
 
 TREE_KEYS = ("source", "metric", "node")
 
+# Up to so many rows the whole state of a search is rewritten each round; above, only once
+# so many parts have gathered beside it.
+MERGE_ROWS = 2_000_000
+MAX_PARTS = 16
+
 
 def require_nodes(edges: DataFrame, wanted: DataFrame, column: str) -> None:
     ids = wanted.select(F.col(column).alias("node_id"))
@@ -47,17 +53,26 @@ def _arcs(edges: DataFrame, costs: dict[str, str]) -> DataFrame:
     return arcs
 
 
+def _best(parts: Sequence[DataFrame]) -> DataFrame:
+    """The best row per key; the map-side part reduces many arcs into one busy node."""
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy(*TREE_KEYS).agg(F.min("best").alias("best"))
+
+
 def shortest_paths(
     edges: DataFrame, sources: DataFrame, costs: dict[str, str] = ROUTE_COSTS
 ) -> DataFrame:
     """``source, metric, node, dist, hops, pred`` for every node that can be reached.
 
     Ties go to fewer hops, then to the smaller predecessor id, so the result is unique.
-    Each round relaxes only the arcs that leave rows improved in the round before, and merges
-    with one aggregation whose map-side part reduces arcs into a busy node.  The improved rows
+    Each round relaxes only the arcs that leave rows improved in the round before.  Those rows
     are broadcast to the arcs while they are few; beyond that it is a shuffle join, and AQE
-    splits the arcs of a node that has very many.  Rounds are bounded by the longest best path,
-    and each costs one job besides the broadcast: the write of the new state also counts it.
+    splits the arcs of a node that has very many.  Rounds are bounded by the longest best path.
+
+    While the state is small, every round merges into it with one aggregation, and the job
+    that writes the new state also counts what improved.  A large state is left in place: the
+    few candidates of a round are broadcast to it, only rows they meet are compared, and what
+    improved is kept beside it as another part.
     """
     arcs = _arcs(edges, costs)
     require_nodes(arcs, sources, "source")
@@ -72,22 +87,24 @@ def shortest_paths(
         F.lit(None).cast("string").alias("pred"),
         F.lit(0).alias("round"),
     )
-    state = sources.select("source").distinct().select(
-        "source",
-        F.explode(F.array(*[F.lit(m) for m in costs])).alias("metric"),
-        F.col("source").alias("node"),
-        start.alias("best"),
+    state, seen = cut_and_measure(
+        sources.select("source")
+        .distinct()
+        .select(
+            "source",
+            F.explode(F.array(*[F.lit(m) for m in costs])).alias("metric"),
+            F.col("source").alias("node"),
+            start.alias("best"),
+        ),
+        n=F.count(F.lit(1)),
     )
+    parts, n_rows = [state], seen["n"]
+    improved, n_improved = state, seen["n"]
     turn = 0
-    while True:
-        newest = F.col("best.round") == turn
-        state, seen = cut_and_measure(state, improved=F.count_if(newest))
-        if seen["improved"] == 0:
-            break
-        improved = state.where(newest)
-        if seen["improved"] <= BROADCAST_ROWS:
-            improved = F.broadcast(improved)
+    while n_improved:
         turn += 1
+        if n_improved <= BROADCAST_ROWS:
+            improved = F.broadcast(improved)
         reached = improved.join(arcs, F.col("node") == F.col("src")).select(
             "source",
             "metric",
@@ -99,7 +116,26 @@ def shortest_paths(
                 F.lit(turn).alias("round"),
             ).alias("best"),
         )
-        state = state.unionByName(reached).groupBy(*TREE_KEYS).agg(F.min("best").alias("best"))
+        newest = F.col("best.round") == turn
+        merge = n_rows <= MERGE_ROWS
+        if not merge:
+            reached, seen = cut_and_measure(_best([reached]), n=F.count(F.lit(1)))
+            merge = seen["n"] > BROADCAST_ROWS or len(parts) >= MAX_PARTS
+        if merge:
+            state, seen = cut_and_measure(
+                _best([*parts, reached]), n=F.count(F.lit(1)), improved=F.count_if(newest)
+            )
+            parts, n_rows = [state], seen["n"]
+            improved, n_improved = state.where(newest), seen["improved"]
+        else:
+            known = reduce(DataFrame.unionByName, parts)
+            met = known.join(F.broadcast(reached.select(*TREE_KEYS)), list(TREE_KEYS), "left_semi")
+            improved, seen = cut_and_measure(
+                _best([met, reached]).where(newest), n=F.count(F.lit(1))
+            )
+            parts.append(improved)
+            n_rows, n_improved = n_rows + seen["n"], seen["n"]
+    state = parts[0] if len(parts) == 1 else cut_lineage(_best(parts))
     return state.select(*TREE_KEYS, "best.dist", "best.hops", "best.pred")
 
 

@@ -124,16 +124,31 @@ def test_paths_match_a_plain_search(spark, random_graph):
     assert {k: v for k, v in want.items() if k[2] != k[0]} == lengths
 
 
-def test_shuffle_join_beyond_the_broadcast_bound(spark, random_graph, monkeypatch):
+@pytest.mark.parametrize(
+    "bounds",
+    [
+        {"BROADCAST_ROWS": 0},
+        {"BROADCAST_ROWS": 0, "MERGE_ROWS": 0},
+        {"MERGE_ROWS": 0},
+        {"MERGE_ROWS": 0, "MAX_PARTS": 3},
+        {"MERGE_ROWS": 30, "BROADCAST_ROWS": 25},
+    ],
+)
+def test_search_beyond_the_size_bounds(spark, random_graph, monkeypatch, bounds):
+    """Shuffle joins, a state left in place, and a switch between the ways give one result."""
     rows, df = random_graph
-    monkeypatch.setattr(paths, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(paths, "fits", lambda *a: False)
-    monkeypatch.setattr(paths, "broadcast_if_small", lambda d, *a, **k: d)
+    for name, value in bounds.items():
+        monkeypatch.setattr(paths, name, value)
+    if bounds.get("BROADCAST_ROWS") == 0:
+        monkeypatch.setattr(paths, "fits", lambda *a: False)
+        monkeypatch.setattr(paths, "broadcast_if_small", lambda d, *a, **k: d)
     sources = spark.createDataFrame([("n0",)], "source string")
-    tree = paths.shortest_paths(df, sources, {"shortest_distance": "length_km"})
-    assert {r.node: r.dist for r in tree.collect()} == dijkstra(rows, "n0", "length_km")
-    ends = tree.select("source", tree.node.alias("target"))
-    assert paths.path_steps(tree, ends).count() == sum(r.hops for r in tree.collect())
+    tree = paths.shortest_paths(df, sources)
+    got = tree.collect()
+    for metric, cost in paths.ROUTE_COSTS.items():
+        assert {r.node: r.dist for r in got if r.metric == metric} == dijkstra(rows, "n0", cost)
+    ends = tree.select("source", tree.node.alias("target")).distinct()
+    assert paths.path_steps(tree, ends).count() == sum(r.hops for r in got)
 
 
 def test_invariants(random_graph):
