@@ -45,11 +45,16 @@ def csv_typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(readers.csv_typed(spark, path, T.StructType(rows.schema.fields)))
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query(
+    """SELECT p_partkey::INT AS p_partkey, p_brand, p_size, round(p_retailprice, 6) AS p_retailprice
+FROM part"""
+)
 def csv_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file while the rows are few, and types found by reading them."""
     path = scratch_path(spark, "inferred")
-    sinks.write_csv(table(spark, sf_dir, "nation"), path, single_file=True)
-    return readers.csv_typed(spark, path)
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
+    sinks.write_csv(rows, path, single_file=True)
+    return rounded(readers.csv_typed(spark, path))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")

@@ -277,6 +277,7 @@ weighted AS (
 )
 
 # Best walk per number of hops, then the best over all hops: distance, fewest hops, least id.
+# Sixty hops are several times the longest best path at the compared scales.
 TREE = (
     GRAPH
     + f""",
