@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -24,6 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="roadtally-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder

@@ -90,6 +90,7 @@ def write_metadata(counts: DataFrame, path: str, **parameters) -> None:
 
 def write_scores(scores: DataFrame, path: str, quantile: float) -> None:
     """The one-row evaluation as ``name: value`` lines."""
+    # The lines of the evaluation file.
     lines = F.array(
         F.format_string("Scoring window rows: %d", "score_rows"),
         F.format_string("Train rows: %d", "train_rows"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roadtally.operators import layers
 from roadtally.plans.batch import Settings, build_layers
-from roadtally.session import broadcast_if_small, fits, scratch_path
+from roadtally.session import broadcast_if_small, fits, scratch_path, shared_folder
 from roadtally.sources import readers, sinks
 
 
@@ -127,6 +127,29 @@ def test_size_checks(spark):
         assert "broadcast" not in plan(df.join(broadcast_if_small(df, 10, stored), "id"))
 
 
+class FakeSession:
+    """A session on a cluster, with or without a shared folder."""
+
+    def __init__(self, folder):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = self
+        self.master = "yarn"
+        self.folder = None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_a_cluster_needs_its_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession(None))
+    named = FakeSession("hdfs:///shared")
+    assert shared_folder(named) == named.folder == "hdfs:///shared"
+
+
 def test_scratch_paths_differ(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
