@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from roadtally.functions.columns import listed_features, require_columns
 from roadtally.operators.folds import fold_split, walkforward_folds
 from roadtally.operators.metrics import regression_scores
+from roadtally.schemas import FOLD_METRICS
 
 SEED = 42
 
@@ -132,7 +132,7 @@ def walk_forward(
     """Train each model on each growing window and score it on the next one.
 
     The loop runs over the few fold bounds on the driver; training, scoring and the scores
-    themselves are Spark jobs.  ``train_rows`` is counted before any down-sampling.
+    themselves are Spark jobs, and one row of scores per fold and model comes back.  ``train_rows`` is counted before any down-sampling.
     """
     features = list(features or listed_features(df))
     rows = df.where(F.col(label).isNotNull() & F.col(ts).isNotNull())
@@ -150,22 +150,14 @@ def walk_forward(
             sampled = down_sample(train, max_train_rows, n_train)
             for name, estimator in models.items():
                 preds = estimator.fit(sampled).transform(test)
-                row = regression_scores(preds, label, "prediction").select(
-                    F.lit(fold).alias("fold"),
-                    F.lit(name).alias("model"),
-                    F.lit(train_end).alias("train_end"),
-                    F.lit(test_end).alias("test_end"),
-                    F.lit(n_train).cast("bigint").alias("train_rows"),
-                    F.lit(n_test).cast("bigint").alias("test_rows"),
-                    "rmse",
-                    "mae",
-                    "r2",
-                    "geh_pct_lt5",
+                got = regression_scores(preds, label, "prediction").first()
+                scores.append(
+                    (fold, name, train_end, test_end, n_train, n_test)
+                    + (got.rmse, got.mae, got.r2, got.geh_pct_lt5)
                 )
-                scores.append(df.sparkSession.createDataFrame(row.collect(), row.schema))
         if not scores:
             raise ValueError("no fold had both training and test rows")
-        return reduce(DataFrame.unionAll, scores)
+        return df.sparkSession.createDataFrame(scores, FOLD_METRICS)
     finally:
         ready.unpersist()
 

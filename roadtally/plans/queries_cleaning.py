@@ -74,7 +74,7 @@ def null_tokens_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {DIRTY}
 SELECT c_custkey,
        round(try_cast(replace(balance_text, ',', '') AS DOUBLE), 6) AS balance,
-       try_cast(nation_text AS INT) AS nation, NULL::DOUBLE AS absent
+       try_cast(nation_text AS INT)::DOUBLE AS nation, NULL::DOUBLE AS absent
 FROM dirty WHERE upper(trim(balance_text)) NOT IN ('NAN')"""
 )
 def tolerant_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +83,7 @@ def tolerant_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.select(
             "c_custkey",
             parsing.as_number(parsing.plain_number("balance_text")).alias("balance"),
-            parsing.to_number(rows, "nation_text", "int").alias("nation"),
+            parsing.to_number(rows, "nation_text", "int").cast("double").alias("nation"),
             F.lit(None).cast("double").alias("absent"),
         )
     )
@@ -129,11 +129,13 @@ def clean_unknown_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {CLEAN_COUNTS}
-SELECT *, year(count_date)::INT AS p_year, strftime(count_date, '%m') AS p_month
+SELECT * REPLACE (count_date::VARCHAR AS count_date), year(count_date)::INT AS p_year,
+       strftime(count_date, '%m') AS p_month
 FROM clean_counts"""
 )
 def clean_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_counts(stand_ins.raw_files(spark, sf_dir))
+    clean = cleaning.clean_counts(stand_ins.raw_files(spark, sf_dir))
+    return clean.withColumn("count_date", F.col("count_date").cast("string"))
 
 
 @query(

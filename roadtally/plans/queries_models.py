@@ -44,7 +44,7 @@ def error_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT month(o_orderdate)::INT AS month, round(avg(o_totalprice), 6) AS mean_volume,
+    """SELECT month(o_orderdate)::INT AS month, round(avg(o_totalprice / 7.0::DOUBLE), 6) AS mean_volume,
        count(*) AS n_rows
 FROM orders GROUP BY 1"""
 )
@@ -52,7 +52,7 @@ def monthly_mean_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     return rounded(
         orders.groupBy(F.month("o_orderdate").alias("month")).agg(
-            F.avg("o_totalprice").alias("mean_volume"), F.count(F.lit(1)).alias("n_rows")
+            F.avg(F.col("o_totalprice") / 7.0).alias("mean_volume"), F.count(F.lit(1)).alias("n_rows")
         )
     )
 
@@ -199,13 +199,13 @@ def flag_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {TRUTH},
-probs AS (SELECT truth, least(y_pred / 500.0::DOUBLE, 1.0::DOUBLE) AS prob FROM judged)
+probs AS (SELECT truth, least(y_pred / 70.0::DOUBLE, 1.0::DOUBLE) AS prob FROM judged)
 SELECT least(floor(prob * 10), 9)::INT AS bucket, round(avg(prob), 6) AS mean_forecast,
        round(avg(truth), 6) AS observed_share, count(*) AS n_rows
 FROM probs GROUP BY 1"""
 )
 def reliability_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prob = F.least(F.col("y_pred") / F.lit(500.0), F.lit(1.0))
+    prob = F.least(F.col("y_pred") / F.lit(70.0), F.lit(1.0))
     rows = _truth(spark, sf_dir).withColumn("prob", prob)
     return rounded(metrics.reliability_curve(rows, "prob", "truth"))
 

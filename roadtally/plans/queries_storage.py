@@ -80,7 +80,8 @@ def parquet_column_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {CLEAN_COUNTS}
-SELECT count_point_id, count_date, hour, all_motor_vehicles, year(count_date)::INT AS p_year
+SELECT count_point_id, count_date::VARCHAR AS count_date, hour, all_motor_vehicles,
+       year(count_date)::INT AS p_year
 FROM clean_counts WHERE year(count_date) = 1999"""
 )
 def month_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +90,9 @@ def month_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = cleaning.clean_counts(stand_ins.raw_files(spark, sf_dir))
     sinks.write_months(clean, path)
     sinks.write_months(clean.where("p_year = 1999"), path)
-    columns = ["count_point_id", "count_date", "hour", "all_motor_vehicles", "p_year"]
-    return spark.read.parquet(path).where("p_year = 1999").select(*columns)
+    day = F.col("count_date").cast("string").alias("count_date")
+    rows = spark.read.parquet(path).where("p_year = 1999")
+    return rows.select("count_point_id", day, "hour", "all_motor_vehicles", "p_year")
 
 
 @query(
@@ -137,11 +139,12 @@ def exchanged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(joined.select("src", "dst", "length_km", "n_rows", "hotspot_rate"))
 
 
-@query(f"WITH {FLAGS} SELECT ts_hour, count_point_id, y_pred, is_hotspot FROM flags")
+@query(f"WITH {FLAGS} SELECT ts_hour, count_point_id, round(y_pred, 6) AS y_pred, is_hotspot FROM flags")
 def predictions_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "predictions")
     sinks.write_predictions(_flags(spark, sf_dir), path)
-    return spark.read.parquet(path).select("ts_hour", "count_point_id", "y_pred", "is_hotspot")
+    stored = spark.read.parquet(path).select("ts_hour", "count_point_id", "y_pred", "is_hotspot")
+    return rounded(stored)
 
 
 @query(

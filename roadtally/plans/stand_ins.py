@@ -52,7 +52,10 @@ def severity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixed predictions per user and hour: a mix of the value and the one before it."""
+    """Fixed predictions per user and hour: a mix of the value and the one before it.
+
+    Sevenths keep means off the ties of decimal rounding, whatever the order of summation.
+    """
     hourly = hourly_totals(table(spark, sf_dir, "events"), "user_id", "ts", "value")
     before = F.lag("volume").over(Window.partitionBy("user_id").orderBy("ts_hour"))
     uid = F.col("user_id")
@@ -63,9 +66,10 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(-0.5) + (uid % 512) / F.lit(1024.0)).alias("longitude"),
         F.concat(F.lit("J"), (uid % 25).cast("string")).alias("from_node"),
         F.concat(F.lit("J"), (uid * 7 % 24).cast("string")).alias("to_node"),
-        F.col("volume").alias("y_true"),
-        F.round(
-            F.lit(0.7) * F.col("volume") + F.lit(0.3) * F.coalesce(before, F.col("volume")), 6
+        (F.col("volume") / F.lit(7.0)).alias("y_true"),
+        (
+            (F.lit(0.7) * F.col("volume") + F.lit(0.3) * F.coalesce(before, F.col("volume")))
+            / F.lit(7.0)
         ).alias("y_pred"),
         F.hour("ts_hour").alias("hour_of_day"),
         F.dayofweek("ts_hour").alias("day_of_week"),
@@ -81,9 +85,10 @@ predictions AS (
          51.0::DOUBLE + user_id / 1024.0::DOUBLE AS latitude,
          -0.5::DOUBLE + (user_id % 512) / 1024.0::DOUBLE AS longitude,
          'J' || (user_id % 25) AS from_node, 'J' || (user_id * 7 % 24) AS to_node,
-         volume AS y_true,
-         round(0.7::DOUBLE * volume + 0.3::DOUBLE * coalesce(
-           lag(volume) OVER (PARTITION BY user_id ORDER BY ts_hour), volume), 6) AS y_pred,
+         volume / 7.0::DOUBLE AS y_true,
+         (0.7::DOUBLE * volume + 0.3::DOUBLE * coalesce(
+           lag(volume) OVER (PARTITION BY user_id ORDER BY ts_hour), volume)) / 7.0::DOUBLE
+           AS y_pred,
          hour(ts_hour)::INT AS hour_of_day, (dayofweek(ts_hour) + 1)::INT AS day_of_week,
          month(ts_hour)::INT AS month
   FROM user_hours)"""

@@ -72,12 +72,6 @@ DISRUPTION_JSON = (
     "startDateTime string, endDateTime string"
 )
 
-DISRUPTIONS = (
-    "disruption_id string, category string, sub_category string, severity string, "
-    "severity_description string, location string, corridor_ids string, "
-    "start_datetime timestamp, end_datetime timestamp, comments string, timestamp_hour timestamp"
-)
-
 NODES = ("node_id string, lon double, lat double, n_rows bigint")
 EDGES = ("src string, dst string, length_km double, n_rows bigint")
 EDGE_RATES = (

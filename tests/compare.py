@@ -40,7 +40,7 @@ def _cell(value) -> str:
     if hasattr(value, "isoformat"):
         return pd.Timestamp(value).isoformat()
     try:
-        return f"{float(value) + 0.0:.6f}" if not isinstance(value, str) else value
+        return repr(float(value)) if not isinstance(value, str) else value
     except (TypeError, ValueError):
         return str(value)
 
