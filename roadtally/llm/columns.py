@@ -25,3 +25,11 @@ def words(text: Column) -> Column:
 def narrow(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns under the operator's own names, so that others cannot clash."""
     return df.select(*[F.col(old).alias(new) for new, old in columns.items()])
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` begins with it in either case."""
+    taken = [c.lower() for c in df.columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name += "_"
+    return name

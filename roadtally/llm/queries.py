@@ -11,7 +11,18 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadtally.llm import chat, licenses, merge_replay, packing, token_counts, topk, warc
+from roadtally.llm import (
+    chat,
+    jaccard_join,
+    licenses,
+    merge_replay,
+    packing,
+    quality_bayes,
+    quality_rules,
+    token_counts,
+    topk,
+    warc,
+)
 from roadtally.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +68,51 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def learned_rules(docs: DataFrame, labels: DataFrame) -> list[quality_rules.Rule]:
+    """The decision list for ``documents`` and ``labels``."""
+    sample = quality_rules.labelled(
+        docs, labels, "doc_id", "text", "doc_id", "quality", quality_rules.MOST_LABELLED
+    )
+    return quality_rules.learn_rules(sample)
+
+
+@_query()
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and the learned decision list over every document."""
+    docs = _table(spark, sf_dir, "documents")
+    rules = learned_rules(docs, _table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs.select("doc_id", "text"), rules, "text", "x").select("doc_id", "x.*")
+
+
+@_query(
+    r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, list_filter(
+        string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+    s AS (
+      SELECT doc_id, unnest(list_distinct(CASE
+        WHEN len(words) = 0 THEN []::VARCHAR[]
+        WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END)) AS shingle
+      FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    l AS (
+      SELECT a.doc_id AS u, b.doc_id AS v FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+    r AS (SELECT doc_id AS id, doc_id AS reached FROM documents UNION SELECT r.id, l.v FROM r JOIN l ON l.u = r.reached)
+    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+    FROM documents d LEFT JOIN n USING (doc_id)
+    LEFT JOIN (SELECT id AS doc_id, min(reached) AS component_id FROM r GROUP BY id) c USING (doc_id)
+    """
+)
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents."""
+    found = jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @_query(
     """
     WITH v AS (
@@ -79,6 +135,20 @@ def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Verdicts on ``documents``: a source is the host, the languages are its paths."""
+    return quality_bayes.classify(
+        docs, labels, "doc_id", "text", F.col("source"), F.col("lang"), "doc_id", "quality"
+    )
+
+
+@_query()
+def op4_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of every document to be good, by its text and where it comes from."""
+    found = classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.drop("key").withColumnRenamed("id", "doc_id")
+
+
 @_query()
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the multilingual ranks, and the bytes they decode to."""
