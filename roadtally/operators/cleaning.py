@@ -55,9 +55,12 @@ def inferable(columns: list[str]) -> list[str]:
 def numeric_ratios(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
     """One row: per column the share of its non-NULL values that look like numbers.
 
-    All columns are measured in one aggregate, over every row unless a sample is asked for.
+    All columns are measured in one aggregate, over every row unless a sample of about
+    ``sample_rows`` is asked for; a row's own values tell whether it is in the sample.
     """
-    rows = df if sample_rows is None else df.limit(sample_rows)
+    rows = df
+    if sample_rows is not None and (n := df.count()) > sample_rows:
+        rows = df.where(F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30)) < int((1 << 30) * sample_rows / n))
     return rows.agg(
         *[
             F.avg(plain_number(c).rlike(NUMBER_PATTERN).cast("double")).alias(c)
@@ -109,9 +112,10 @@ def drop_negative(df: DataFrame, value: str) -> DataFrame:
 
 
 def cap_by_key(df: DataFrame, key: str, value: str, q: float = 0.995) -> DataFrame:
-    """Cap each value at its key's exact quantile; the caps are broadcast if keys are few."""
-    caps = broadcast_if_small(exact_quantiles(df, key, value, q, "cap"))
-    return df.join(caps, key, "left").withColumn(value, F.least(value, "cap")).drop("cap")
+    """Cap each value at its key's exact quantile, of a null key too; a null value stays null."""
+    caps = exact_quantiles(df, key, value, q, "cap").withColumnRenamed(key, "_key")
+    capped = df.join(broadcast_if_small(caps), df[key].eqNullSafe(F.col("_key")), "left").drop("_key")
+    return capped.withColumn(value, F.when(F.col(value).isNotNull(), F.least(value, "cap"))).drop("cap")
 
 
 def latest_per_key(df: DataFrame, keys: list[str], newest_first: list) -> DataFrame:

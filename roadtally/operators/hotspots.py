@@ -30,9 +30,10 @@ def thresholds(
 def with_threshold(
     preds: DataFrame, key: str, value: str, q: float, exact: bool = False
 ) -> DataFrame:
-    """Put the key's threshold on each row, by broadcast if there are few keys."""
-    limits = broadcast_if_small(thresholds(preds, key, value, q, exact))
-    return preds.join(limits, key, "left")
+    """Put the key's threshold on each row; a null key has its own."""
+    limits = thresholds(preds, key, value, q, exact).withColumnRenamed(key, "_key")
+    joined = preds.join(broadcast_if_small(limits), preds[key].eqNullSafe(F.col("_key")), "left")
+    return joined.drop("_key")
 
 
 def flag_hotspots(preds: DataFrame, q: float = DEFAULT_QUANTILE) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadtally.functions.columns import listed_features, require_columns
 from roadtally.operators.folds import fold_split, walkforward_folds
@@ -77,17 +77,27 @@ def scaled_boosting(label: str, features: Sequence[str], **changes) -> Pipeline:
     )
 
 
-def down_sample(df: DataFrame, max_rows: int, n_rows: int | None = None) -> DataFrame:
-    """About ``max_rows`` rows if there are more; 0 keeps all."""
+def row_bucket(*key: str) -> Column:
+    """A number from 0 to 2**32 - 1 told by the row's key alone, the same on any layout."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+BUCKETS = 1 << 32
+
+
+def down_sample(df: DataFrame, max_rows: int, key: Sequence[str], n_rows: int | None = None) -> DataFrame:
+    """About ``max_rows`` rows if there are more, chosen by ``key``; 0 keeps all."""
     if max_rows <= 0:
         return df
     n = df.count() if n_rows is None else n_rows
-    return df.sample(False, max_rows / n, SEED) if n > max_rows else df
+    return df.where(row_bucket(*key) < F.lit(max_rows * BUCKETS // n)) if n > max_rows else df
 
 
-def random_split(df: DataFrame, train: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    first, second = df.randomSplit([train, 1.0 - train], SEED)
-    return first, second
+def random_split(df: DataFrame, key: Sequence[str], train: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Two parts; a row's ``key`` tells where it goes."""
+    first = row_bucket(*key) < F.lit(int(train * BUCKETS))
+    return df.where(first), df.where(~first)
 
 
 def model_rows(
@@ -132,7 +142,9 @@ def walk_forward(
     """Train each model on each growing window and score it on the next one.
 
     The loop runs over the few fold bounds on the driver; training, scoring and the scores
-    themselves are Spark jobs, and one row of scores per fold and model comes back.  ``train_rows`` is counted before any down-sampling.
+    themselves are Spark jobs, and one row of scores per fold and model comes back.
+    ``max_train_rows`` bounds the labelled rows a model is fitted on (0: all of them); test rows
+    are never sampled, and ``train_rows`` is counted before any sampling.
     """
     features = list(features or listed_features(df))
     rows = df.where(F.col(label).isNotNull() & F.col(ts).isNotNull())
@@ -147,7 +159,7 @@ def walk_forward(
             n_train, n_test = train.count(), test.count()
             if not n_train or not n_test:
                 continue
-            sampled = down_sample(train, max_train_rows, n_train)
+            sampled = down_sample(train, max_train_rows, [ts, label, "features"], n_train)
             for name, estimator in models.items():
                 preds = estimator.fit(sampled).transform(test)
                 got = regression_scores(preds, label, "prediction").first()
@@ -172,14 +184,16 @@ def score_last_days(
 ) -> tuple[DataFrame, PipelineModel, int]:
     """Train boosted trees on the old rows and predict the last days.
 
-    Returns the predictions, the model and the number of training rows after down-sampling.
+    ``max_train_rows`` bounds the labelled rows the model is fitted on (0: all of them); every row
+    of the last days is predicted. Returns the predictions, the model and the number of training
+    rows after sampling.
     The predictions are lazy; persist them before several uses.
     """
     require_columns(df, [*PREDICTION_KEYS, label])
     features = listed_features(df)
     rows = model_rows(df, label, features, PREDICTION_KEYS)
     train, score = last_days_split(rows, "ts_hour", score_days)
-    train = down_sample(train, max_train_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    train = down_sample(train, max_train_rows, [*PREDICTION_KEYS, label]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_train = train.count()
         if n_train == 0 or score.isEmpty():

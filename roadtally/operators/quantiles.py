@@ -5,37 +5,101 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from roadtally.session import broadcast_if_small
+from roadtally.session import broadcast_if_small, cut_and_measure, cut_lineage
 
 # A sketch of this accuracy is off by at most one rank in so many.
 ACCURACY = 10_000
 
 
+# Values of a key that one task may order; a wider bracket is narrowed first.
+FEW = 100_000
+MAX_ROUNDS = 40
+CELLS = 256
+
+
 def exact_quantiles(df: DataFrame, key: str, value: str, q: float, name: str) -> DataFrame:
     """Per key the smallest value whose cumulative share of rows reaches ``q``.
 
-    Mergeable sketches first give a bracket that must hold the quantile.  A second pass counts
-    distinct values inside it; all rows below fall into one counter and rows above are left
-    out.  Both passes combine map-side, and only the few values of the bracket are ordered.
+    Nulls do not count; NaN counts and is larger than all numbers; a null key is a key like any
+    other; a key without values has a null quantile.  Mergeable sketches give a bracket that should
+    hold the quantile.  A second pass counts rows below it and inside: a bracket that turns out not
+    to hold the wanted rank becomes the whole range.  One that holds many values is cut into cells
+    and replaced by the cell of the wanted rank until few are left.  All passes combine map-side,
+    and only a few values of a key are ever ordered in one task.
     """
+    x = F.col(value).cast("double")
+    number = F.when(~F.isnan(x), x)
+    rows = df.select(F.col(key).alias("_key"), number.alias("_x"), x.isNotNull().alias("_counts"))
     margin = 2.0 / ACCURACY
-    ends = F.percentile_approx(value, [max(q - margin, 0.0), min(q + margin, 1.0)], ACCURACY)
-    brackets = broadcast_if_small(
-        df.groupBy(key)
-        .agg(ends.alias("ends"), F.count(value).alias("n"))
-        .select(key, F.col("ends")[0].alias("low"), F.col("ends")[1].alias("high"), "n")
+    ends = F.percentile_approx("_x", [max(q - margin, 0.0), min(q + margin, 1.0)], ACCURACY)
+    keys = rows.groupBy("_key").agg(
+        F.count_if("_counts").alias("n"),
+        F.count("_x").alias("m"),
+        F.min("_x").alias("least"),
+        F.max("_x").alias("most"),
+        ends.alias("ends"),
     )
-    inside = df.join(brackets, key).where(F.col(value) <= F.col("high"))
-    counted = inside.groupBy(
-        key, "n", F.when(F.col(value) >= F.col("low"), F.col(value)).alias("at")
-    ).agg(F.count(F.lit(1)).alias("times"))
-    upward = Window.partitionBy(key).orderBy(F.asc_nulls_first("at"))
-    reached = F.sum("times").over(upward.rowsBetween(Window.unboundedPreceding, 0))
     # The rank is the ceiling of q n, written so that rounding of q n does no harm.
     rank = F.greatest(F.col("n") - F.floor(F.col("n") - F.lit(q) * F.col("n")), F.lit(1))
-    return (
-        counted.withColumns({"_reached": reached, "_rank": rank})
-        .where(F.col("_reached") >= F.col("_rank"))
-        .groupBy(key)
-        .agg(F.min("at").alias(name))
+    # Beside NaN the rank lies further up among the numbers than the sketch was asked for.
+    high = F.when(F.col("n") == F.col("m"), F.col("ends")[1]).otherwise(F.col("most"))
+    brackets = cut_lineage(
+        keys.select("_key", "n", "m", "least", "most", rank.alias("rank"), F.col("ends")[0].alias("low"), high.alias("high"))
+    )
+    open_ = brackets.where(F.col("rank") <= F.col("m"))
+
+    def counted(now: DataFrame) -> DataFrame:
+        """The bracket's cells with their rows; the rows below it are one cell, -1."""
+        held = rows.join(broadcast_if_small(now.withColumnRenamed("_key", "_k"), stored=True), F.col("_key").eqNullSafe(F.col("_k")))
+        width = F.col("high") - F.col("low")
+        inner = F.when(width > 0, F.least(F.floor((F.col("_x") / width - F.col("low") / width) * CELLS), F.lit(CELLS - 1))).otherwise(0)
+        cell = F.when(F.col("_x") < F.col("low"), -1).otherwise(F.greatest(inner, F.lit(0))).cast("int")
+        return (
+            held.where(F.col("_x") <= F.col("high"))
+            .groupBy("_key", "least", "most", "rank", cell.alias("cell"))
+            .agg(F.count(F.lit(1)).alias("times"), F.min("_x").alias("from"), F.max("_x").alias("to"))
+        )
+
+    settled = None
+    for _ in range(MAX_ROUNDS):
+        upward = Window.partitionBy("_key").orderBy("cell")
+        reached = counted(open_).withColumn("upto", F.sum("times").over(upward))
+        hit = (F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("times") < F.col("rank"))
+        found = reached.where(hit).select(
+            "_key", "least", "most", "rank", "cell", "times",
+            F.when(F.col("cell") < 0, F.col("least")).otherwise(F.col("from")).alias("low"),
+            F.when(F.col("cell") < 0, F.col("most")).otherwise(F.col("to")).alias("high"),
+        )
+        missed = open_.join(found.select(F.col("_key").alias("_k")), F.col("_key").eqNullSafe(F.col("_k")), "left_anti")
+        widened = missed.select(
+            "_key", "least", "most", "rank", F.lit(-1).alias("cell"), F.lit(FEW + 1).alias("times"),
+            F.col("least").alias("low"), F.col("most").alias("high"),
+        )
+        state, seen = cut_and_measure(
+            found.unionByName(widened),
+            wide=F.count_if((F.col("cell") < 0) | ((F.col("times") > FEW) & (F.col("low") < F.col("high")))),
+        )
+        done = state.where((F.col("cell") >= 0) & ((F.col("times") <= FEW) | (F.col("low") == F.col("high"))))
+        settled = done if settled is None else settled.unionByName(done)
+        if not seen["wide"]:
+            break
+        open_ = state.join(done.select(F.col("_key").alias("_k")), F.col("_key").eqNullSafe(F.col("_k")), "left_anti")
+    else:
+        raise RuntimeError("a quantile's bracket did not narrow")
+
+    last = broadcast_if_small(settled.select(F.col("_key").alias("_k"), "rank", "low", "high"))
+    inside = rows.join(last, F.col("_key").eqNullSafe(F.col("_k"))).where(F.col("_x") <= F.col("high"))
+    values = inside.groupBy("_key", "rank", F.when(F.col("_x") >= F.col("low"), F.col("_x")).alias("at")).agg(
+        F.count(F.lit(1)).alias("times")
+    )
+    order = Window.partitionBy("_key").orderBy(F.asc_nulls_first("at"))
+    exact = (
+        values.withColumn("upto", F.sum("times").over(order))
+        .where(F.col("upto") >= F.col("rank"))
+        .groupBy(F.col("_key").alias("_k"))
+        .agg(F.min("at").alias("at"))
+    )
+    nan = F.when((F.col("n") > 0) & (F.col("rank") > F.col("m")), F.lit(float("nan")))
+    return brackets.join(exact, F.col("_key").eqNullSafe(F.col("_k")), "left").select(
+        F.col("_key").alias(key), F.coalesce("at", nan).cast(df.schema[value].dataType).alias(name)
     )

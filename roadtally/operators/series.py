@@ -11,7 +11,7 @@ from pyspark.sql.window import Window, WindowSpec
 from roadtally.functions.columns import series_and_volume
 from roadtally.functions.parsing import severity_score
 from roadtally.operators.cleaning import tag_region
-from roadtally.session import broadcast_if_small, cut_and_measure
+from roadtally.session import broadcast_if_small, cut_and_measure, cut_lineage
 
 LAGS = (1, 2, 24)
 ROLL_ROWS = 24
@@ -58,37 +58,44 @@ def sequence_features(
     roll: int = ROLL_ROWS,
     horizon: int = 1,
     split_above: int | None = 1_000_000,
-    split_unit: str = "hour",
 ) -> DataFrame:
     """Lags, rolling statistics and the target, counted in rows of each series.
 
     ``order`` starts with the timestamp and must order a series totally.  Rows are one shuffle
     and one sort away from their features.  A series of more than ``split_above`` rows is cut
-    into stretches of ``split_unit`` so that several tasks share it; the few rows near a cut,
-    whose frame reaches over it, are computed from the rows around all cuts of that series.
-    ``split_above=None`` says the caller knows every series to be short.
+    into stretches of about so many rows at quantiles of its timestamps, so tasks grow in number
+    with the rows; rows of one timestamp stay together, and rows without one are a stretch of
+    their own.  The few rows near a cut, whose frame reaches over it, are computed from the rows
+    around all cuts of that series.  ``split_above=None`` says the caller knows every series to
+    be short.
     """
     whole = Window.partitionBy(series).orderBy(*order)
     plain = _row_features(whole, value, lags, roll, horizon)
     if split_above is None:
         return df.withColumns(plain)
-    hot, seen = cut_and_measure(
-        df.groupBy(F.col(series).alias("_hot"))
-        .count()
-        .where(F.col("count") > split_above)
-        .select("_hot", F.lit(True).alias("_is_hot")),
-        n=F.count(F.lit(1)),
+    long_ones, seen = cut_and_measure(
+        df.groupBy(F.col(series).alias("_hot")).count().where(F.col("count") > split_above),
+        most=F.max("count"),
     )
-    if seen["n"] == 0:
+    if seen["most"] is None:
         return df.withColumns(plain)
-
-    stretch = F.when(F.col("_is_hot"), F.date_trunc(split_unit, order[0]))
+    parts = -(-seen["most"] // split_above)
+    micros = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    same = F.col(series).eqNullSafe(F.col("_hot"))
+    shares = [k / parts for k in range(1, parts)]
+    hot = cut_lineage(
+        df.join(broadcast_if_small(long_ones.select("_hot"), stored=True), same)
+        .groupBy("_hot")
+        .agg(F.percentile_approx(micros, shares, 10 * parts).alias("_cuts"))
+    )
     cut = (
-        df.join(broadcast_if_small(hot, stored=True), F.col(series).eqNullSafe(F.col("_hot")), "left")
-        .withColumn("_stretch", stretch)
-        .drop("_hot", "_is_hot")
+        df.join(broadcast_if_small(hot, stored=True), same, "left")
+        .withColumn("_split", F.col("_hot").isNotNull() | F.col("_cuts").isNotNull())
+        .withColumn("_stretch", F.when(F.col("_split"), F.size(F.filter("_cuts", lambda c: c < micros))))
+        .withColumn("_stretch", F.when(F.col(order[0]).isNotNull(), F.col("_stretch")))
+        .drop("_hot", "_cuts")
     )
-    inside = Window.partitionBy(series, "_stretch").orderBy(*order)
+    inside = Window.partitionBy(series, "_split", "_stretch").orderBy(*order)
     back = max([*lags, roll])
 
     def near(rows_back: int, rows_ahead: int) -> Column:
@@ -98,7 +105,7 @@ def sequence_features(
             F.lag(one, rows_back).over(inside).isNull()
             | F.lead(one, rows_ahead).over(inside).isNull()
         )
-        return F.when(F.col("_stretch").isNotNull(), close).otherwise(False)
+        return F.col("_split") & close
 
     marked = cut.withColumns(
         {"_near_cut": near(back, horizon), "_around": near(back + horizon, back + horizon)}
@@ -147,7 +154,7 @@ def hourly_severity(feed: DataFrame, hour: str, severity: str) -> DataFrame:
 
 
 def attach_hourly(df: DataFrame, hourly: DataFrame, fill: float | int = 0) -> DataFrame:
-    """Left join one row per hour; a shown-small hour table is broadcast and nothing shuffles."""
+    """Left join one row per hour."""
     added = [c for c in hourly.columns if c != "ts_hour"]
     joined = df.join(broadcast_if_small(hourly), "ts_hour", "left")
     return joined.fillna({c: fill for c in added})

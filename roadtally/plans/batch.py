@@ -15,7 +15,12 @@ from roadtally.sources import readers, sinks
 
 @dataclass
 class Settings:
-    """Parameters of a run; the defaults are those of the daily job."""
+    """Parameters of a run.
+
+    Test and score days, the model of the folds, the trees and the hotspot bound default to those
+    of the daily job. Nothing is left out by default: no target or map line is cut, and only the
+    scoring model is fitted on a bounded sample of labelled rows (``max_train_rows``, 0: all).
+    """
 
     raw: str
     root: str
@@ -24,20 +29,24 @@ class Settings:
     sources: list[str]
     targets: list[str] | None = None
     event_feed: str | None = None
+    event_csv: str | None = None
     horizon: int = 1
     n_folds: int = 3
-    test_days: int = 30
-    with_boosting: bool = True
-    score_days: int = 90
-    max_train_rows: int = 200_000
+    test_days: int = 3
+    with_boosting: bool = False
+    score_days: int = 7
+    max_train_rows: int = 50_000
+    max_fold_rows: int = 0
     quantile: float = hotspots.DEFAULT_QUANTILE
     coordinates: str = "mean"
     directed: bool = True
     alpha: float = graph.ALPHA
-    hot_above: float = 0.0
+    hot_above: float = 0.20
     max_targets: int = 0
-    geojson_limit: int = 200
-    trees: int = 60
+    geojson_limit: int | None = None
+    trees: int = 20
+    depth: int = 4
+    fold_trees: int = 40
     save_model: bool = False
 
 
@@ -75,6 +84,11 @@ def feature_step(spark: SparkSession, s: Settings) -> None:
         when = event_time_column(feed)
         feed = feed.select(parse_event_time(when).alias("ts"))
         feeds.append(series.hourly_event_counts(feed, "ts"))
+    if s.event_csv:  # the same counts from a table
+        feed = readers.csv_strings(spark, s.event_csv)
+        when = event_time_column(feed)
+        feed = feed.select(parse_event_time(when).alias("ts"))
+        feeds.append(series.hourly_event_counts(feed, "ts"))
     gold = series.gold_features(rows, s.region, tie_break=ties, horizon=s.horizon, hourly=feeds)
     sinks.write_region(gold, f"{s.root}/gold/features")
 
@@ -83,7 +97,7 @@ def fold_step(spark: SparkSession, s: Settings) -> None:
     label = f"y_t_plus_{s.horizon}h"
     models = {"LR": learning.linear(label)}
     if s.with_boosting:
-        models["GBT"] = learning.boosted(label, maxIter=s.trees)
+        models["GBT"] = learning.boosted(label, maxIter=s.fold_trees)
     gold = _of_region(spark, f"{s.root}/gold/features", s.region)
     scores = learning.walk_forward(
         gold,
@@ -91,14 +105,15 @@ def fold_step(spark: SparkSession, s: Settings) -> None:
         models,
         n_folds=s.n_folds,
         test_days=s.test_days,
-        max_train_rows=s.max_train_rows,
+        max_train_rows=s.max_fold_rows,
     )
     sinks.write_csv(scores, f"{s.root}/gold/walkforward_metrics", single_file=True)
     sinks.write_csv(metrics.model_summary(scores), f"{s.root}/gold/model_summary", single_file=True)
 
 
 def graph_step(spark: SparkSession, s: Settings) -> None:
-    links = graph.clean_links(spark.read.parquet(f"{s.root}/silver/region={s.region}"))
+    """Nodes and links of the rows that have features, as the daily job takes them."""
+    links = graph.clean_links(_of_region(spark, f"{s.root}/gold/features", s.region))
     nodes = graph.node_table(links, s.coordinates)
     edges = graph.edge_table(links)
     nodes.write.mode("overwrite").parquet(f"{s.root}/gold/nodes")
@@ -110,7 +125,7 @@ def scoring_step(spark: SparkSession, s: Settings) -> None:
     label = f"y_t_plus_{s.horizon}h"
     gold = _of_region(spark, f"{s.root}/gold/features", s.region)
     preds, model, n_train = learning.score_last_days(
-        gold, label, score_days=s.score_days, max_train_rows=s.max_train_rows, maxIter=s.trees
+        gold, label, score_days=s.score_days, max_train_rows=s.max_train_rows, maxIter=s.trees, maxDepth=s.depth
     )
     if s.save_model:
         model.write().overwrite().save(f"{out}/model")
@@ -124,7 +139,7 @@ def scoring_step(spark: SparkSession, s: Settings) -> None:
     )
     scores = scores.withColumn("train_rows", F.lit(n_train))
     sinks.write_scores(scores, f"{out}/evaluation", s.quantile)
-    sinks.write_csv(hotspots.point_rates(flags), f"{out}/hotspots_map", single_file=True)
+    sinks.write_csv(hotspots.point_rates(flags), f"{out}/hotspots_map")
     sinks.write_csv(hotspots.time_profile(flags), f"{out}/time_profile", single_file=True)
     hotspots.edge_rates(flags).write.mode("overwrite").parquet(f"{out}/edge_rates")
 
@@ -159,7 +174,7 @@ def route_step(spark: SparkSession, s: Settings) -> None:
         layers.run_features(lines),
         f"{s.root}/gold/route_lines",
         routes.ROUTE,
-        limit=2 * s.geojson_limit,
+        limit=None if s.geojson_limit is None else 2 * s.geojson_limit,
     )
     sinks.write_metadata(
         routes.route_counts(pairs),

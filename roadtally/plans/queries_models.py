@@ -8,7 +8,7 @@ from roadtally.operators import folds, learning, metrics, series
 from roadtally.operators.hotspots import flag_hotspots, with_threshold
 from roadtally.plans import stand_ins
 from roadtally.plans.queries_series import gold_features
-from roadtally.plans.registry import query, rounded, table
+from roadtally.plans.registry import ORACLES, query, rounded, table
 from roadtally.plans.stand_ins import FLAGS, PREDICTIONS, SERIES, predictions
 
 SCORES = """count(*) AS n_rows, round(sqrt(avg(pow(p - y, 2))), 6) AS rmse,
@@ -210,28 +210,77 @@ def reliability_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics.reliability_curve(rows, "prob", "truth"))
 
 
-# ---- models: fitted parameters have no SQL, so only rows are checked ----------------------
+# ---- models: what SQL can say of them -------------------------------------------------------
+
+READY = f"""gold AS ({ORACLES["gold_features"]}),
+ready AS (
+  SELECT *, y_t_plus_1h AS y FROM gold WHERE lag_2h IS NOT NULL AND lag_24h IS NOT NULL
+    AND roll_mean_24h IS NOT NULL AND roll_std_24h IS NOT NULL)"""
+
+
+def _folds_sql(model: str) -> str:
+    """Folds of five days, how many rows each trains and tests on, and that scores are numbers."""
+    return f"""WITH {READY},
+times AS (
+  SELECT ts_hour, row_number() OVER (ORDER BY ts_hour) - 1 AS place, count(*) OVER () AS n
+  FROM (SELECT DISTINCT ts_hour FROM ready)),
+cuts AS (
+  SELECT fold, n, greatest(1, least(floor(fold / 4.0 * (n - 1))::BIGINT, n - 2)) AS e
+  FROM (SELECT max(n) AS n FROM times), (VALUES (1), (2), (3)) AS f(fold)),
+bounds AS (
+  SELECT fold, a.ts_hour AS train_end, b.ts_hour AS test_end
+  FROM cuts JOIN times a ON a.place = e JOIN times b ON b.place = least(e + 120, cuts.n - 1))
+SELECT fold::INT AS fold, '{model}' AS model, train_end, test_end,
+       count(*) FILTER (WHERE ts_hour <= train_end) AS train_rows,
+       count(*) FILTER (WHERE ts_hour > train_end AND ts_hour <= test_end) AS test_rows,
+       TRUE AS sound
+FROM ready, bounds GROUP BY 1, 3, 4"""
 
 
 def _walk(spark: SparkSession, sf_dir: str, **models) -> DataFrame:
-    return learning.walk_forward(
-        gold_features(spark, sf_dir), "y_t_plus_1h", models, test_days=5
+    """``sound``: scores are finite, in order, and the error stays near the spread of the label."""
+    gold = gold_features(spark, sf_dir)
+    scores = learning.walk_forward(gold, "y_t_plus_1h", models, test_days=5)
+    spread = gold.agg(F.stddev_pop("y_t_plus_1h")).first()[0]
+    sound = F.col("rmse").between(0, 1.5 * spread) & (F.col("mae") <= F.col("rmse")) & (F.col("r2") <= 1)
+    return scores.select(
+        "fold", "model", "train_end", "test_end", "train_rows", "test_rows", F.coalesce(sound, F.lit(False)).alias("sound")
     )
 
 
-@query()
+@query(_folds_sql("LR"))
 def walkforward_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _walk(spark, sf_dir, LR=learning.linear("y_t_plus_1h"))
 
 
-@query()
+@query(_folds_sql("GBT"))
 def walkforward_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _walk(spark, sf_dir, GBT=learning.boosted("y_t_plus_1h", maxIter=10))
+    return _walk(spark, sf_dir, GBT=learning.boosted("y_t_plus_1h"))
 
 
-@query()
+@query(_folds_sql("RF"))
 def walkforward_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _walk(spark, sf_dir, RF=learning.forest("y_t_plus_1h", numTrees=10))
+    return _walk(spark, sf_dir, RF=learning.forest("y_t_plus_1h"))
+
+
+@query(
+    f"""WITH {READY}
+SELECT round(regr_slope(y, lag_1h), 4) AS slope, round(regr_intercept(y, lag_1h), 2) AS intercept,
+       count(*) AS n_rows
+FROM ready"""
+)
+def linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The linear model on one feature and without a penalty is the least-squares line."""
+    ready = gold_features(spark, sf_dir).dropna(
+        subset=["lag_2h", "lag_24h", "roll_mean_24h", "roll_std_24h", "y_t_plus_1h"]
+    )
+    rows = learning.vectors(["lag_1h"], "skip").transform(ready)
+    model = learning.linear("y_t_plus_1h", regParam=0.0, solver="normal").fit(rows)
+    return rows.agg(
+        F.round(F.lit(float(model.coefficients[0])), 4).alias("slope"),
+        F.round(F.lit(float(model.intercept)), 2).alias("intercept"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
 
 
 def point_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +299,7 @@ def point_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def score_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    preds, _, _ = learning.score_last_days(point_features(spark, sf_dir), score_days=7, maxIter=10)
+    preds, _, _ = learning.score_last_days(point_features(spark, sf_dir), score_days=7)
     return flag_hotspots(preds)
 
 
@@ -260,14 +309,18 @@ def scaled_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = ["hour_of_day", "day_of_week", "month", "latitude", "longitude"]
     label = "all_motor_vehicles"
     rows = learning.model_rows(point_features(spark, sf_dir), label, features, ["ts_hour"])
-    train, test = learning.random_split(rows)
-    model = learning.scaled_boosting(label, features, maxIter=10).fit(train)
+    train, test = learning.random_split(rows, ["ts_hour", *features, label])
+    model = learning.scaled_boosting(label, features).fit(train)
     return metrics.regression_scores(model.transform(test), label, "prediction")
 
 
-@query()
+@query(
+    """SELECT event_id FROM events
+WHERE ('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT
+      < (SELECT greatest(count(*) // 5, 1) * 4294967296 // count(*) FROM events)"""
+)
 def train_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """About a fifth of the events, by seed."""
+    """About a fifth of the events, chosen by their id."""
     events = table(spark, sf_dir, "events")
     n = events.count()
-    return learning.down_sample(events, max_rows=max(n // 5, 1), n_rows=n)
+    return learning.down_sample(events, max(n // 5, 1), ["event_id"], n).select("event_id")

@@ -94,7 +94,7 @@ def hot_series_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Few series with a large share of the rows each, cut by day and mended at the cuts."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
     rows = ops.sequence_features(
-        events, "event_type", ["ts", "event_id"], "value", split_above=100, split_unit="day"
+        events, "event_type", ["ts", "event_id"], "value", split_above=100
     )
     return rounded(rows.drop("ts", "value"))
 

@@ -80,18 +80,20 @@ def parquet_column_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {CLEAN_COUNTS}
-SELECT count_point_id, count_date::VARCHAR AS count_date, hour, all_motor_vehicles,
+SELECT count_point_id, count_date::VARCHAR AS count_date, hour,
+       CASE WHEN year(count_date) = 1999 THEN all_motor_vehicles + 1 ELSE all_motor_vehicles END AS all_motor_vehicles,
        year(count_date)::INT AS p_year
-FROM clean_counts WHERE year(count_date) = 1999"""
+FROM clean_counts"""
 )
 def month_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written by month twice over; the filter on the year reads that year's folders only."""
+    """Written by month; one year is then written again with other values. All months are read."""
     path = scratch_path(spark, "silver")
     clean = cleaning.clean_counts(stand_ins.raw_files(spark, sf_dir))
     sinks.write_months(clean, path)
-    sinks.write_months(clean.where("p_year = 1999"), path)
+    changed = clean.where("p_year = 1999").withColumn("all_motor_vehicles", F.col("all_motor_vehicles") + 1)
+    sinks.write_months(changed, path)
     day = F.col("count_date").cast("string").alias("count_date")
-    rows = spark.read.parquet(path).where("p_year = 1999")
+    rows = spark.read.parquet(path)
     return rows.select("count_point_id", day, "hour", "all_motor_vehicles", "p_year")
 
 

@@ -2,31 +2,25 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-# A build side of at most this many narrow rows is some tens of MB per executor.
+# A build side is broadcast up to so many rows and so many bytes of values.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    A session without that setting needs a folder set by ``setCheckpointDir``, which tests, the
+    benchmark and the entry module do for local sessions.
     """
     sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        folder = sc.getCheckpointDir()
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="roadtally-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder
@@ -50,8 +44,15 @@ def cut_and_measure(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]
     return cut, seen.get
 
 
+def _bytes(df: DataFrame) -> Column:
+    """Bytes of all values as text, summed."""
+    return F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether a stored table may be broadcast; counted by all tasks, so no rows move."""
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(_bytes(df), F.lit(0)).alias("size")).first()
+    return seen["n"] <= max_rows and seen["size"] <= BROADCAST_BYTES
 
 
 def broadcast_if_small(
@@ -59,10 +60,11 @@ def broadcast_if_small(
 ) -> DataFrame:
     """Hint a broadcast when ``df`` is shown to be small, else leave the join to AQE.
 
-    A table made by aggregation is computed once: the job that stores it counts it as well.
-    ``stored`` says that ``df`` reads a stored table, so that counting it is cheap.
+    A table made by aggregation is computed once: the job that stores it measures it as well.
+    ``stored`` says that ``df`` reads a stored table, so that measuring it is cheap.
     """
     if stored:
         return F.broadcast(df) if fits(df, max_rows) else df
-    kept, seen = cut_and_measure(df, n=F.count(F.lit(1)))
-    return F.broadcast(kept) if seen["n"] <= max_rows else kept
+    kept, seen = cut_and_measure(df, n=F.count(F.lit(1)), size=F.coalesce(_bytes(df), F.lit(0)))
+    small = seen["n"] <= max_rows and seen["size"] <= BROADCAST_BYTES
+    return F.broadcast(kept) if small else kept

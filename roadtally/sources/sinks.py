@@ -1,4 +1,4 @@
-"""Writes.  Executors write in parallel; one file is made only of a result shown to be small."""
+"""Writes.  Executors write in parallel; one file is made only where the caller asks for it."""
 
 from __future__ import annotations
 
@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadtally.functions.geojson import feature_text
-from roadtally.session import fits
-
-# A result of at most this many rows may be written by a single task.
-SINGLE_FILE_ROWS = 100_000
+from roadtally.session import cut_lineage
 
 # Headers, doubled quotes, and no trimming of spaces on the way out.
 CSV_OPTIONS = {
@@ -75,8 +72,8 @@ def write_predictions(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header per part file, or one file if the rows are few enough."""
-    if single_file and fits(df, SINGLE_FILE_ROWS):
+    """CSV with a header per part file; ``single_file`` is for tables known to stay small."""
+    if single_file:
         df = df.coalesce(1)
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
@@ -141,12 +138,12 @@ def write_collection(
 ) -> None:
     """A FeatureCollection over sorted part files; ``key`` must tell the features apart.
 
-    ``limit`` is the map's own cap on how many lines it draws, in the order of ``key``.
+    ``limit`` is a map's own choice of how many lines it draws, in the order of ``key``; without it
+    all are written.
     """
+    features = cut_lineage(features)  # read three times: for the first key, the sort, the write
     if limit is not None:
         features = features.orderBy(*key).limit(limit)
     lines = collection_lines(features, key).orderBy("part", "rank_key")
-    if limit is not None and limit <= SINGLE_FILE_ROWS:
-        lines = lines.coalesce(1)
     lines.select("value").write.mode("overwrite").text(path)
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -12,11 +13,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 def make_session() -> SparkSession:
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '8')}]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="roadtally-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

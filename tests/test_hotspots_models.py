@@ -10,6 +10,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from roadtally.operators import folds, hotspots, learning, metrics
+from roadtally.operators import cleaning, quantiles
 from roadtally.operators.quantiles import exact_quantiles
 
 START = dt.datetime(2024, 1, 1)
@@ -131,12 +132,13 @@ def test_scoring_split_and_predictions(gold):
         learning.score_last_days(gold, score_days=90)
 
 
-def test_sampling_is_by_seed(gold):
-    small = learning.down_sample(gold, 100)
+def test_sampling_is_by_key(gold):
+    key = ["ts_hour", "count_point_id"]
+    small = learning.down_sample(gold, 100, key)
     assert 50 < small.count() < 160
-    assert small.count() == learning.down_sample(gold, 100).count()
-    assert learning.down_sample(gold, 0).count() == learning.down_sample(gold, 1000).count() == 600
-    train, test = learning.random_split(gold)
+    assert small.exceptAll(learning.down_sample(gold.repartition(7), 100, key)).isEmpty()
+    assert learning.down_sample(gold, 0, key).count() == learning.down_sample(gold, 1000, key).count() == 600
+    train, test = learning.random_split(gold, key)
     assert train.count() + test.count() == 600 and 60 < test.count() < 180
 
 
@@ -163,4 +165,21 @@ def test_exact_quantiles(spark, q):
         want.setdefault(k, []).append(v)
     want = {k: sorted(vs)[max(math.ceil(q * len(vs) - 1e-9), 1) - 1] for k, vs in want.items()}
     got = {r.k: r.top for r in exact_quantiles(df, "k", "v", q, "top").collect()}
-    assert got == want
+    assert got == want | {10: None}
+
+
+@pytest.mark.parametrize("few", [3, 100_000])
+def test_exact_quantiles_of_null_keys_and_nan(spark, monkeypatch, few):
+    """NaN is the largest value, a null key is a key; brackets are narrowed when many are many."""
+    monkeypatch.setattr(quantiles, "FEW", few)
+    values = {None: [float(k) for k in range(9, -1, -1)], 1: [5.0] * 10 + [math.nan] * 3, 2: [math.nan], 3: [1e300, -1e300, 0.0, 7.0]}
+    values[4] = [math.sin(k) for k in range(500)]
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "k int, v double")
+    for q in (0.0, 0.5, 0.75, 0.9, 1.0):
+        got = {r.k: r.top for r in exact_quantiles(df, "k", "v", q, "top").collect()}
+        for k, vs in values.items():
+            ordered = sorted(v for v in vs if v == v) + [math.nan] * sum(v != v for v in vs)
+            want = ordered[max(math.ceil(q * len(vs) - 1e-9), 1) - 1]
+            assert got[k] == want or (want != want and got[k] != got[k]), (q, k)
+    capped = cleaning.cap_by_key(df, "k", "v", 0.5).where("k is null").agg(F.max("v")).first()[0]
+    assert capped == 4.0

@@ -50,9 +50,9 @@ def brute(rows, horizon):
     [
         {"split_above": None},
         {"split_above": 1_000},
-        {"split_above": 10, "split_unit": "day"},
-        {"split_above": 10, "split_unit": "hour"},
-        {"split_above": 70, "split_unit": "day"},
+        {"split_above": 10},
+        {"split_above": 3},
+        {"split_above": 70},
     ],
 )
 @pytest.mark.parametrize("horizon", [1, 3])
@@ -106,3 +106,19 @@ def test_gold_features_drops_ends(spark):
     assert [(r.ts_hour.hour, r.y_t_plus_2h) for r in out.orderBy("ts_hour").collect()] == [(1, 3.0), (2, 4.0)]
     monday = out.first()
     assert (monday.day_of_week, monday.is_weekend, monday.region) == (2, 0, "London")
+
+
+@pytest.mark.parametrize("split_above", [5, 20, 42])
+def test_rows_without_a_time_when_a_series_is_cut(spark, split_above):
+    start = dt.datetime(2024, 1, 1)
+    rows = [("a", None, k, float(k)) for k in range(3)]
+    rows += [("a", start + dt.timedelta(minutes=k), k, float(k * k)) for k in range(40)]
+    rows += [(None, start, k, 1.0 + k) for k in range(50)] + [("b", None, 0, 2.0), ("b", start, 1, 3.0)]
+    df = spark.createDataFrame(rows, "sid string, ts timestamp, tie int, v double")
+    plain = ops.sequence_features(df, "sid", ["ts", "tie"], "v", split_above=None).collect()
+    cut = ops.sequence_features(df, "sid", ["ts", "tie"], "v", split_above=split_above).collect()
+
+    def shown(rows):
+        return sorted(str([round(x, 9) if isinstance(x, float) else x for x in r]) for r in rows)
+
+    assert shown(cut) == shown(plain)
