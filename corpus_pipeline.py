@@ -12,7 +12,7 @@ from roadtally.llm import queries as llm
 from roadtally.llm.columns import unused
 from roadtally.llm.jaccard_join import near_duplicates
 from roadtally.llm.quality_rules import judge
-from roadtally.session import scratch_path
+from roadtally.session import broadcast_if_small, cut_lineage, scratch_path
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     llm.ship(spark)
     verdicts = llm.classified(docs, _labels(spark, sf_dir))
     rejected = verdicts.where(~F.col("kept")).select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
+    rejected = broadcast_if_small(rejected)  # beyond the bound the texts are joined by a shuffle
     key = unused(docs, "_text_key")
     kept = docs.withColumn(key, F.xxhash64("text")).join(
         rejected, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(key) == F.col("_key")), "left_anti"
@@ -48,8 +49,10 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     found = near_duplicates(docs, "doc_id", "text").where(F.col("n_shingles") > 0)
     by_id = found.groupBy("id").agg(F.min("component_id").alias("first"), F.count(F.lit(1)).alias("rows"))
     copies = by_id.where((F.col("first") < F.col("id")) | (F.col("rows") > 1))
-    gone = copies.select(F.col("id").alias("doc_id"))
+    copies = cut_lineage(copies)
+    gone = broadcast_if_small(copies.select(F.col("id").alias("doc_id")), stored=True)
     repeated = copies.where(F.col("first") == F.col("id")).select(F.col("id").alias("doc_id"))
+    repeated = broadcast_if_small(repeated, stored=True)
     others = [c for c in docs.columns if c != "doc_id"]
     once = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_row"))
     single = docs.join(gone, "doc_id", "left_anti")
