@@ -82,15 +82,9 @@ def resolve_column(
     return found
 
 
-def event_time_column(df: DataFrame) -> str:
-    """The time column of an event feed; any name with date or time in it as a last resort."""
-    try:
-        return resolve_column(df.columns, EVENT_TIME_NAMES)
-    except ValueError:
-        dated = [c for c in df.columns if re.search("date|time", c.lower())]
-        if not dated:
-            raise
-        return dated[0]
+def event_time_column(df: DataFrame, explicit: str | None = None) -> str:
+    """The time column of an event feed, by one of its known names; others have to be named."""
+    return resolve_column(df.columns, EVENT_TIME_NAMES, explicit)
 
 
 def series_and_volume(df: DataFrame) -> tuple[str, str]:

@@ -80,17 +80,20 @@ def _by_layout(date_text: Column, text: Column, suffix: str) -> Column:
     return F.when(F.contains(date_text, F.lit("-")), iso).otherwise(day_first)
 
 
+def _day(name: str) -> Column:
+    """The ten characters of a date, whatever spaces or time stand around it."""
+    return F.substring(F.trim(F.col(name).cast("string")), 1, 10)
+
+
 def parse_date(name: str) -> Column:
-    """ISO or day-first dates; an ISO date may carry a time."""
-    text = F.col(name).cast("string")
-    return _by_layout(text, F.substring(F.trim(text), 1, 10), "").cast("date")
+    """ISO or day-first dates; a date may carry a time."""
+    return _by_layout(_day(name), _day(name), "").cast("date")
 
 
 def hour_timestamp(df: DataFrame, date_name: str, hour_name: str) -> Column:
-    """Date and hour joined; dates may be ISO or day-first, hours may be ``7`` or ``7.0``."""
-    date_text = F.col(date_name).cast("string")
+    """Date and hour joined; the date is read as by :func:`parse_date`, hours may be ``7`` or ``7.0``."""
     hour = F.lpad(to_number(df, hour_name, "int").cast("string"), 2, "0")
-    return _by_layout(date_text, F.concat(date_text, F.lit(" "), hour), " HH")
+    return _by_layout(_day(date_name), F.concat(_day(date_name), F.lit(" "), hour), " HH")
 
 
 def severity_score(name: str) -> Column:

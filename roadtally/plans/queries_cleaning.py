@@ -166,6 +166,23 @@ def mixed_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.month_keys(rows.where(F.col("ts_hour").isNotNull()), "ts_hour")
 
 
+@query(
+    """SELECT o_orderkey, date_trunc('day', o_orderdate::TIMESTAMP) + to_hours((o_orderkey % 24)::BIGINT::INT) AS ts_hour
+FROM orders"""
+)
+def dated_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates with a time of their own, with spaces, ISO and day-first: none is lost."""
+    day = F.col("o_orderdate").cast("date")
+    iso, day_first = F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "dd/MM/yyyy")
+    kinds = F.array(F.concat(iso, F.lit(" 00:00:00")), F.concat(F.lit("  "), iso), day_first, F.concat(day_first, F.lit(" 00:00")))
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.get(kinds, (F.col("o_orderkey") % 4).cast("int")).alias("day"),
+        (F.col("o_orderkey") % 24).cast("string").alias("hour"),
+    )
+    return rows.select("o_orderkey", parsing.hour_timestamp(rows, "day", "hour").alias("ts_hour"))
+
+
 @query(
     """SELECT o_orderkey, o_orderdate + to_minutes(CASE WHEN o_orderkey % 4 < 2 THEN 0
                                                     ELSE (o_orderkey % 1440)::INT END) AS ts

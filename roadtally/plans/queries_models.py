@@ -9,6 +9,8 @@ from roadtally.operators.hotspots import flag_hotspots, with_threshold
 from roadtally.plans import stand_ins
 from roadtally.plans.queries_series import gold_features
 from roadtally.plans.registry import ORACLES, query, rounded, table
+from roadtally.session import scratch_path
+from roadtally.sources.sinks import write_scores
 from roadtally.plans.stand_ins import FLAGS, PREDICTIONS, SERIES, predictions
 
 SCORES = """count(*) AS n_rows, round(sqrt(avg(pow(p - y, 2))), 6) AS rmse,
@@ -26,6 +28,24 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics.regression_scores(predictions(spark, sf_dir), "y_true", "y_pred"))
 
 
+@query(
+    f"""WITH {SCORED},
+s AS (SELECT count(*) AS n, sqrt(avg(pow(p - y, 2))) AS rmse, avg(abs(p - y)) AS mae,
+             1 - avg(pow(p - y, 2)) / nullif(var_pop(y), 0) AS r2 FROM scored)
+SELECT unnest(['Scoring window rows: ' || n, 'Train rows: ' || n,
+  'RMSE: ' || format('{{:.3f}}', rmse), 'MAE : ' || format('{{:.3f}}', mae), 'R2  : ' || format('{{:.6f}}', r2),
+  'Hotspot quantile (per hour): 0.8']) AS value
+FROM s"""
+)
+def evaluation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evaluation file of a scoring window, written and read back."""
+    path = scratch_path(spark, "evaluation")
+    scores = metrics.regression_scores(predictions(spark, sf_dir), "y_true", "y_pred")
+    named = scores.withColumnRenamed("n_rows", "score_rows").withColumn("train_rows", F.col("score_rows"))
+    write_scores(named, path, 0.8)
+    return spark.read.text(path)
+
+
 @query(
     f"""WITH {SCORED}
 SELECT CASE WHEN hour_of_day IN (7, 8, 9, 16, 17, 18) THEN 'peak' ELSE 'off_peak' END AS period,

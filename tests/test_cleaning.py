@@ -56,12 +56,14 @@ def test_hour_timestamps(spark):
     rows = [
         ("2020-06-26", "7"), ("21/05/2004", "7.0"), ("31/02/2004", "3"), (None, "1"),
         ("2020-06-26", "23"), ("2020-06-26", "24"), ("2020-06-26", "x"), ("21/05/2004", "0"),
+        ("2004-05-21 00:00:00", "5"), (" 2004-05-21", "6"), ("21/05/2004 10:00", "7"),
     ]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, d string, h string")
     got = values(df.select("id", parsing.hour_timestamp(df, "d", "h").alias("t")).orderBy("id"), "t")
     assert got == [
         dt.datetime(2020, 6, 26, 7), dt.datetime(2004, 5, 21, 7), None, None,
         dt.datetime(2020, 6, 26, 23), None, None, dt.datetime(2004, 5, 21, 0),
+        dt.datetime(2004, 5, 21, 5), dt.datetime(2004, 5, 21, 6), dt.datetime(2004, 5, 21, 7),
     ]
 
 
@@ -109,8 +111,10 @@ def test_column_resolution_has_no_substring_match():
 def test_role_columns(spark):
     df = spark.createDataFrame([], "count_point_id long, segment_id long, all_motor_vehicles double")
     assert series_and_volume(df) == ("segment_id", "all_motor_vehicles")
-    feed = spark.createDataFrame([], "id int, last_seen_date string")
-    assert event_time_column(feed) == "last_seen_date"
+    feed = spark.createDataFrame([], "candidate_id int, last_seen_date string")
+    with pytest.raises(ValueError):
+        event_time_column(feed)
+    assert event_time_column(feed, "last_seen_date") == "last_seen_date"
 
 
 def test_feature_choice(spark):
