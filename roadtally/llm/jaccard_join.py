@@ -3,13 +3,14 @@
 A text is its set of five-word shingles. Its point counts them by group; the overlap of two sets
 is at most the sum of the coordinate-wise minima of their points, and for a box of points that of
 the query's coordinates and the box's upper corner. One tree over all texts would be scanned
-almost whole, as unrelated texts of a length look alike to 64 counts. So texts first meet by the
-rare shingles of which two similar texts must share one, and a tree is packed for each meeting.
+almost whole, as a box of unrelated texts has a high corner in every coordinate. So texts first
+meet by the rare shingles of which two similar texts must share one, and trees are packed for each
+meeting.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from roadtally.llm.columns import narrow
 from roadtally.llm.components import components
-from roadtally.llm.shingles import GROUPS, point, set_key, shingle_set
-from roadtally.session import cut_lineage
+from roadtally.llm.shingles import fold, point, set_key, shingle_set
+from roadtally.session import broadcast_if_small, cut_lineage, scratch_path
 
 # Links: 100 * intersection >= 80 * union, so 9 * intersection >= 4 * (sum of the sizes).
 PERCENT = 80
@@ -141,27 +142,44 @@ def _stars(meetings: DataFrame) -> DataFrame:
 def _bounded(pairs: DataFrame) -> DataFrame:
     """Pairs whose points allow a link: the minima of their coordinates sum up to enough."""
 
+    def allowed(a: bytes, b: bytes, total: int) -> bool:
+        x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+        groups = min(len(x), len(y))
+        return 9 * int(np.minimum(fold(x, groups), fold(y, groups)).sum(dtype=np.int64)) >= 4 * total
+
     def run(batches):
         for batch in batches:
-            a, b = (_points(batch.column(c).to_pylist()) for c in ("point_a", "point_b"))
-            total = np.asarray(batch.column("n_a")) + np.asarray(batch.column("n_b"))
-            kept = 9 * np.minimum(a, b).sum(1, dtype=np.int64) >= 4 * total
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).filter(pa.array(kept)) for c in ("a", "b")], ["a", "b"]
-            )
+            columns = [batch.column(c).to_pylist() for c in ("point_a", "point_b", "n_a", "n_b")]
+            kept = pa.array([allowed(a, b, m + n) for a, b, m, n in zip(*columns)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(kept) for c in ("a", "b")], ["a", "b"])
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "n_a", "n_b", "point_a", "point_b").mapInArrow(run, "a long, b long")
 
 
-def _points(raw: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(raw), "<u4").reshape(-1, GROUPS)
+def point_pairs(
+    n: np.ndarray, points: list[bytes], part: np.ndarray, side: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """:func:`tree_pairs` for points of several lengths.
+
+    For each length a tree holds the points of this length and, folded, the longer ones whose
+    sizes could fit; pairs of two longer ones are left to their own tree.
+    """
+    length = np.fromiter(map(len, points), np.int64, len(points))
+    for groups in np.unique(length):
+        own = length == groups
+        fits = (100 * n >= PERCENT * n[own].min()) & (PERCENT * n <= 100 * n[own].max())
+        rows = np.flatnonzero(own | ((length > groups) & fits))
+        if len(rows) > 1:
+            same = [fold(np.frombuffer(points[r], np.uint8), int(groups)) for r in rows]
+            for x, y in tree_pairs(n[rows], np.stack(same), part[rows], side[rows], own[rows]):
+                yield rows[x], rows[y]
 
 
 def tree_pairs(
-    n: np.ndarray, points: np.ndarray, part: np.ndarray, side: np.ndarray
+    n: np.ndarray, points: np.ndarray, part: np.ndarray, side: np.ndarray, own: np.ndarray
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of different ``part`` whose points allow a link, by a packed R-tree. If rows
-    come from two sides, only pairs of both are wanted.
+    come from two sides, only pairs of both are wanted; of a pair, one at least is to be ``own``.
 
     Rows are packed into leaves by part, size and counts, so that what is already known to be
     linked shares boxes; boxes are packed into boxes up to the root. A leaf is the query: it goes
@@ -169,7 +187,7 @@ def tree_pairs(
     another part, and the pairs of the leaves that are reached are compared one by one.
     """
     order = np.lexsort((points[:, 0], points[:, 1], n, part))
-    n, points, part, side = n[order], points[order].astype(np.int32), part[order], side[order]
+    n, points, part, side, own = n[order], points[order], part[order], side[order], own[order]
     two_sided = (side != side[0]).any()
     starts = np.arange(0, len(n), LEAF)
     levels = [(np.minimum.reduceat(n, starts), np.maximum.reduceat(points, starts, axis=0), np.minimum.reduceat(part, starts), np.maximum.reduceat(part, starts))]
@@ -187,7 +205,7 @@ def tree_pairs(
             if level == 0:
                 boxes = boxes[boxes >= leaf]
             own_n, own_upper, own_low, own_high = (x[boxes] for x in levels[level])
-            enough = 9 * np.minimum(own_upper, upper[leaf]).sum(1) >= 4 * (own_n + least[leaf])
+            enough = 9 * np.minimum(own_upper, upper[leaf]).sum(1, dtype=np.int64) >= 4 * (own_n + least[leaf])
             same = (own_low == own_high) & (own_low == low[leaf]) & (own_high == high[leaf]) & (low[leaf] == high[leaf])
             boxes = boxes[enough & ~same]
             if not len(boxes):
@@ -198,10 +216,11 @@ def tree_pairs(
         for i in mine:
             others = rows[(rows > i) & (part[rows] != part[i])]
             others = others[side[others] != side[i]] if two_sided else others
+            others = others if own[i] else others[own[others]]
             small, large = np.minimum(n[others], n[i]), np.maximum(n[others], n[i])
             others = others[100 * small >= PERCENT * large]
             if len(others):
-                enough = 9 * np.minimum(points[others], points[i]).sum(1) >= 4 * (n[others] + n[i])
+                enough = 9 * np.minimum(points[others], points[i]).sum(1, dtype=np.int64) >= 4 * (n[others] + n[i])
                 if enough.any():
                     yield np.full(int(enough.sum()), order[i]), order[others[enough]]
 
@@ -224,7 +243,7 @@ def _strips(placed: DataFrame) -> DataFrame:
     return placed.join(shares, ["cell", "component"]).select("cell", "k", "n", "component", strip.alias("strip"))
 
 
-def _cross_pairs(placed: DataFrame, points: DataFrame) -> DataFrame:
+def _cross_pairs(placed: DataFrame, points: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Pairs ``a, b`` of one meeting that are not yet known to be connected."""
     rows = cut_lineage(_strips(placed))
     boxes = rows.groupBy("cell", "strip").agg(
@@ -242,7 +261,7 @@ def _cross_pairs(placed: DataFrame, points: DataFrame) -> DataFrame:
     )
     dealt = (
         rows.join(sides, ["cell", "strip"])
-        .join(points, "k")
+        .join(points(rows.select("k")).drop("n"), "k")
         .select("unit", "k", "n", "component", "strip", "point")
         .repartition("unit")
         .sortWithinPartitions("unit", "component")
@@ -252,7 +271,7 @@ def _cross_pairs(placed: DataFrame, points: DataFrame) -> DataFrame:
         for unit, k, n, comp, strip, own in _runs(batches, ["unit", "k", "n", "component", "strip", "point"]):
             starts = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
             for a, b in zip(starts, np.append(starts[1:], len(unit))):
-                for x, y in tree_pairs(n[a:b], _points(list(own[a:b])), comp[a:b], strip[a:b]):
+                for x, y in point_pairs(n[a:b], list(own[a:b]), comp[a:b], strip[a:b]):
                     first, second = k[a:b][x], k[a:b][y]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.minimum(first, second)), pa.array(np.maximum(first, second))], ["a", "b"]
@@ -261,10 +280,14 @@ def _cross_pairs(placed: DataFrame, points: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Links ``u, v`` (ids) among pairs of set keys, by whole sets made again from the texts."""
+def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, repeats: bool) -> DataFrame:
+    """Links ``u, v`` (ids) among pairs of set keys, by whole sets made again from the texts.
+
+    ``repeats`` says that a set's text may come more than once, as ids are repeated.
+    """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
-    holders = sets.join(wanted, "k").select("k", "k2", "id")
+    # If the few numbers that name these texts fit into memory, no text but theirs is moved.
+    holders = broadcast_if_small(sets.join(wanted, "k").select("k", "k2", "id"))
 
     def run(batches):
         for batch in batches:
@@ -280,7 +303,8 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
             )
 
     texts = docs.join(holders, "id").select("k", "k2", "id", "text")
-    known = texts.mapInArrow(run, "k long, k2 long, id long, shingles array<long>").dropDuplicates(["k", "k2"])
+    known = texts.mapInArrow(run, "k long, k2 long, id long, shingles array<long>")
+    known = known.dropDuplicates(["k", "k2"]) if repeats else known
     known = cut_lineage(known.select("k", "id", "shingles"))
     left = known.select(F.col("k").alias("a"), F.col("id").alias("u"), F.col("shingles").alias("left"))
     right = known.select(F.col("k").alias("b"), F.col("id").alias("v"), F.col("shingles").alias("right"))
@@ -301,28 +325,34 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     rows = narrow(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
     named = rows.where(F.col("id").isNotNull())
-    made = cut_lineage(_sets(rows))
+    path = scratch_path(docs.sparkSession, "sets")
+    _sets(rows).write.parquet(path)
+    made = docs.sparkSession.read.parquet(path)
     each = made.where(F.col("cell").isNull()).drop("cell", "times")
     times = made.where(F.col("cell").isNotNull()).groupBy("cell").agg(F.sum("times").alias("times")).collect()
     order = np.zeros(COUNTERS, np.int64)  # a number for each of a fixed number of cells
     order[[r["cell"] for r in times]] = [r["times"] for r in times]
 
     full = each.where((F.col("n") > 0) & F.col("id").isNotNull())
-    sets = cut_lineage(
-        full.groupBy("k", "k2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("point").alias("point"))
-    )
-    stars = cut_lineage(_stars(_meetings(named, order)))
-    side = {
-        x: sets.select(F.col("k").alias(x), F.col("n").alias(f"n_{x}"), F.col("point").alias(f"point_{x}"))
-        for x in ("a", "b")
-    }
+    sets = cut_lineage(full.groupBy("k", "k2").agg(F.min("id").alias("id"), F.first("n").alias("n")))
+    repeats = not full.groupBy("id").count().where("count > 1").isEmpty()
 
-    def with_points(pairs: DataFrame) -> DataFrame:
-        fits = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
-        return pairs.join(side["a"], "a").join(side["b"], "b").where(fits)
+    def points(keys: DataFrame) -> DataFrame:
+        """``k, n, point`` of the sets that have one of the keys."""
+        wanted = broadcast_if_small(sets.join(keys.distinct(), "k").select("k", "k2", "id"))
+        found = full.join(wanted, ["k", "k2", "id"]).select("k", "k2", "n", "point")
+        return cut_lineage((found.dropDuplicates(["k", "k2"]) if repeats else found).drop("k2"))
 
-    tried = stars.where(F.col("lead") != F.col("k")).select(F.least("lead", "k").alias("a"), F.greatest("lead", "k").alias("b")).distinct()
-    star_links = cut_lineage(_verified(named, sets, cut_lineage(_bounded(with_points(tried)))))
+    stars = cut_lineage(_stars(_meetings(named, order)))
+    tried = stars.where(F.col("lead") != F.col("k")).select(F.least("lead", "k").alias("a"), F.greatest("lead", "k").alias("b"))
+    sizes = {x: sets.select(F.col("k").alias(x), F.col("n").alias(f"n_{x}")) for x in ("a", "b")}
+    fits = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
+    tried = cut_lineage(tried.distinct().join(sizes["a"], "a").join(sizes["b"], "b").where(fits))
+    of_tried = points(tried.select(F.explode(F.array("a", "b")).alias("k")))
+    with_points = tried
+    for x in ("a", "b"):
+        with_points = with_points.join(of_tried.select(F.col("k").alias(x), F.col("point").alias(f"point_{x}")), x)
+    star_links = cut_lineage(_verified(named, sets, cut_lineage(_bounded(with_points)), repeats))
 
     repeated = full.groupBy("id").agg(F.min("k").alias("low"), F.max("k").alias("high")).where("low != high").select("id")
     of_set = sets.select("k", "k2", F.col("id").alias("v"))
@@ -333,8 +363,8 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "k", "n", F.coalesce("component", "id").alias("component")
     )
     placed = stars.where(F.col("meeting").isNotNull()).select(F.col("meeting").alias("cell"), "k").distinct().join(member, "k")
-    crossing = _cross_pairs(placed, sets.select("k", "point")).join(tried, ["a", "b"], "left_anti")
-    more = _verified(named, sets, cut_lineage(crossing))
+    crossing = _cross_pairs(placed, points).join(tried, ["a", "b"], "left_anti")
+    more = _verified(named, sets, cut_lineage(crossing), repeats)
     final = components(star_links.union(same_id).union(more))
 
     name = sets.join(final, sets["id"] == final["node"], "left").select(

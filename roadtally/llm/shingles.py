@@ -8,8 +8,7 @@ import numpy as np
 import xxhash
 
 SHINGLE_WORDS = 5
-GROUPS = 64  # coordinates of a point; a shingle's group is told by the top bits of its hash
-_GROUP_SHIFT = np.uint64(58)
+LEAST_BITS = 6
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 _MOST_WORDS = 200_000
 
@@ -56,5 +55,22 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def point(shingles: np.ndarray) -> np.ndarray:
-    """How many shingles fall into each group."""
-    return np.bincount((shingles >> _GROUP_SHIFT).astype(np.int64), minlength=GROUPS).astype("<u4")
+    """How many shingles fall into each group, one byte a group.
+
+    A set of n shingles is counted in n / 2 groups or a little more, as a power of two: with fewer,
+    unrelated sets of some length have nearly equal counts. A group is told by the top bits of the
+    hash, so :func:`fold` makes a coarser point of a finer one.
+    """
+    bits = max(LEAST_BITS, (max(len(shingles), 2) // 2 - 1).bit_length())
+    while True:
+        counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        if counts.max() < 256:
+            return counts.astype(np.uint8)
+        bits += 1
+
+
+def fold(points: np.ndarray, groups: int) -> np.ndarray:
+    """Points in the last axis, counted in fewer groups; wider numbers where they are needed."""
+    if points.shape[-1] == groups:
+        return points
+    return points.reshape(*points.shape[:-1], groups, -1).sum(-1, dtype=np.uint16)

@@ -85,22 +85,31 @@ def test_no_documents_no_classes(spark):
     assert jaccard_join.near_duplicates(none, "doc_id", "text").count() == 0
 
 
+def overlap_bound(a, b):
+    groups = min(len(a), len(b))
+    return sum(min(int(x), int(y)) for x, y in zip(*(p.reshape(groups, -1).sum(1, dtype=int) for p in (a, b))))
+
+
 def test_a_tree_finds_all_pairs_its_points_allow():
     rng = random.Random(4)
     sets = [shingle_set(" ".join(rng.choices("abcdefghij", k=rng.randint(5, 60)))) for _ in range(150)]
     sets += [np.unique(np.append(s[3:], np.uint64(rng.getrandbits(60)))) for s in sets[:80]]
     n = np.array([len(s) for s in sets])
-    points = np.stack([point(s) for s in sets])
+    sets += [shingle_set(" ".join(rng.choices("abcdefghij", k=rng.randint(180, 320)))) for _ in range(40)]
+    sets += [np.unique(np.append(s[9:], np.uint64(rng.getrandbits(60)))) for s in sets[-40:]]
+    n = np.array([len(s) for s in sets])
+    points = [point(s) for s in sets]
+    assert len({len(p) for p in points}) > 2
     part = np.array([rng.randrange(40) for _ in sets])
     side = np.zeros(len(sets), np.int64)
-    got = {(min(a, b), max(a, b)) for x, y in jaccard_join.tree_pairs(n, points, part, side) for a, b in zip(x, y)}
+    got = {(min(a, b), max(a, b)) for x, y in jaccard_join.point_pairs(n, [p.tobytes() for p in points], part, side) for a, b in zip(x, y)}
     want = {
         (i, j)
         for j in range(len(sets))
         for i in range(j)
         if part[i] != part[j]
         and 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j])
-        and 9 * int(np.minimum(points[i], points[j]).sum()) >= 4 * int(n[i] + n[j])
+        and 9 * overlap_bound(points[i], points[j]) >= 4 * int(n[i] + n[j])
     }
     assert got == want
 
