@@ -138,7 +138,7 @@ def test_classifier_at_the_edges(spark):
 
 
 LICENSED = [
-    ("Licensed under CC BY-NC 4.0.", 6, [("cc-by", 2)], {"cc-by", "cc-by-nc"}),
+    ("Licensed under CC BY-NC 4.0.", 7, [("cc-by", 2)], {"cc-by", "cc-by-nc"}),
     ("This work is licensed under the GNU General Public License, version 3.", 12, [("gpl", 7)], {"gpl", "gpl-3.0"}),
     ("Licensed under the Apache License, Version 2.0.", 8, [], {"apache-2.0"}),
     ("Released under the MIT License.", 5, [], {"mit"}),
@@ -149,7 +149,7 @@ LICENSED = [
     (None, 0, [], set()),
     ("", 0, [], set()),
     (" .,; ", 0, [], set()),
-    ("occ by scc by cc bye é_cc by", 8, [("cc-by", 6)], {"cc-by"}),
+    ("occ by scc by cc bye é_cc by", 9, [("cc-by", 7)], {"cc-by"}),
 ]
 
 
