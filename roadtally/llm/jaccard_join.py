@@ -10,7 +10,7 @@ meeting.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,8 @@ COUNTERS = 1 << 16  # cells that count how often shingles occur; fixed, whatever
 LEAF = 16
 # A meeting of more texts is dealt into strips of about so many, two of which make a task's tree.
 STRIP = 4096
+# The same for candidates whose whole sets a task holds.
+SET_STRIP = 1024
 
 _SETS = "id long, n long, k long, k2 long, point binary, cell int, times long"
 
@@ -225,7 +227,7 @@ def tree_pairs(
                     yield np.full(int(enough.sum()), order[i]), order[others[enough]]
 
 
-def _strips(placed: DataFrame) -> DataFrame:
+def _strips(placed: DataFrame, most: int) -> DataFrame:
     """``cell, k, n, component, strip`` for meetings that hold more than one component.
 
     Small components of a meeting share strips by hash; a large one has strips of its own, so that
@@ -236,16 +238,16 @@ def _strips(placed: DataFrame) -> DataFrame:
         of_component.groupBy("cell").agg(F.count(F.lit(1)).alias("components"), F.sum("c").alias("m")).where("components > 1")
     )
     shares = of_component.join(cells, "cell").select(
-        "cell", "component", F.ceil(F.col("m") / STRIP).alias("of_cell"), F.ceil(F.col("c") / STRIP).alias("of_own"), "c"
+        "cell", "component", F.ceil(F.col("m") / most).alias("of_cell"), F.ceil(F.col("c") / most).alias("of_own"), "c"
     )
     own = F.xxhash64(F.col("component"), F.pmod(F.xxhash64("k"), F.col("of_own")))
-    strip = F.when(2 * F.col("c") > STRIP, own).otherwise(F.pmod(F.xxhash64("component"), F.col("of_cell")))
+    strip = F.when(2 * F.col("c") > most, own).otherwise(F.pmod(F.xxhash64("component"), F.col("of_cell")))
     return placed.join(shares, ["cell", "component"]).select("cell", "k", "n", "component", strip.alias("strip"))
 
 
-def _cross_pairs(placed: DataFrame, points: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Pairs ``a, b`` of one meeting that are not yet known to be connected."""
-    rows = cut_lineage(_strips(placed))
+def _units(placed: DataFrame, most: int) -> DataFrame:
+    """``unit, k, n, component, strip``: what a task compares, two strips of one cell at most."""
+    rows = cut_lineage(_strips(placed, most))
     boxes = rows.groupBy("cell", "strip").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"), F.max("n").alias("most")
     )
@@ -259,35 +261,101 @@ def _cross_pairs(placed: DataFrame, points: Callable[[DataFrame], DataFrame]) ->
     sides = units.select(
         F.col("i.cell").alias("cell"), unit, F.explode(F.array_distinct(F.array("i.strip", "j.strip"))).alias("strip")
     )
-    dealt = (
-        rows.join(sides, ["cell", "strip"])
-        .join(points(rows.select("k")).drop("n"), "k")
-        .select("unit", "k", "n", "component", "strip", "point")
-        .repartition("unit")
-        .sortWithinPartitions("unit", "component")
-    )
+    return rows.join(sides, ["cell", "strip"]).select("unit", "k", "n", "component", "strip")
+
+
+class _Forest:
+    """Which rows are known to be connected."""
+
+    def __init__(self, n: int) -> None:
+        self.up = list(range(n))
+
+    def root(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = i = self.up[self.up[i]]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        a, b = self.root(i), self.root(j)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _by_unit(batches, names: list[str]) -> Iterator[list[np.ndarray]]:
+    for columns in _runs(batches, names):
+        starts = np.flatnonzero(np.append(True, columns[0][1:] != columns[0][:-1]))
+        for a, b in zip(starts, np.append(starts[1:], len(columns[0]))):
+            yield [x[a:b] for x in columns[1:]]
+
+
+def _candidates(units: DataFrame, points: DataFrame) -> DataFrame:
+    """``cell, k``: groups of sets that pairs allowed by their points connect.
+
+    Groups come out instead of their pairs, so rows do not grow with the square of a group; the
+    same group found in several meetings is one.
+    """
+    dealt = units.join(points, "k").repartition("unit").sortWithinPartitions("unit", "component")
+    names = ["unit", "k", "n", "component", "strip", "point"]
 
     def run(batches):
-        for unit, k, n, comp, strip, own in _runs(batches, ["unit", "k", "n", "component", "strip", "point"]):
-            starts = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
-            for a, b in zip(starts, np.append(starts[1:], len(unit))):
-                for x, y in point_pairs(n[a:b], list(own[a:b]), comp[a:b], strip[a:b]):
-                    first, second = k[a:b][x], k[a:b][y]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(first, second)), pa.array(np.maximum(first, second))], ["a", "b"]
-                    )
+        for k, n, comp, strip, own in _by_unit(batches, names):
+            forest = _Forest(len(k))
+            for x, y in point_pairs(n, list(own), comp, strip):
+                for i, j in zip(x.tolist(), y.tolist()):
+                    forest.join(i, j)
+            roots = np.array([forest.root(i) for i in range(len(k))])
+            for root in np.flatnonzero(np.bincount(roots) > 1):
+                members = np.sort(k[roots == root])
+                name = set_key(members)[0]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(members), name)), pa.array(members)], ["cell", "k"])
+
+    return dealt.select(*names).mapInArrow(run, "cell long, k long").distinct()
+
+
+def _links(units: DataFrame, known: DataFrame) -> DataFrame:
+    """Links ``a, b`` between components, found by comparing whole sets in the task.
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    The tree of a unit proposes pairs; a pair that earlier links connect is not compared, and only
+    links that connect something new come out, fewer than the unit has rows.
+    """
+    packed = known.select("k", "shingles")
+    dealt = units.join(packed, "k").repartition("unit").sortWithinPartitions("unit", "component")
+    names = ["unit", "k", "n", "component", "strip"]
 
+    def raw(batches):
+        for batch in batches:
+            lists = batch.column("shingles")
+            sets = [np.asarray(x.values).tobytes() for x in lists]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(sets, pa.binary())], [*names, "set"])
 
-def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, repeats: bool) -> DataFrame:
-    """Links ``u, v`` (ids) among pairs of set keys, by whole sets made again from the texts.
+    def run(batches):
+        for k, n, comp, strip, own in _by_unit(raw(batches), [*names, "set"]):
+            sets = [np.frombuffer(x, np.uint64) for x in own]
+            forest, first = _Forest(len(k)), {}
+            for i, c in enumerate(comp.tolist()):
+                forest.join(first.setdefault(c, i), i)
+            found = []
+            for x, y in point_pairs(n, [point(s).tobytes() for s in sets], comp, strip):
+                for i, j in zip(x.tolist(), y.tolist()):
+                    if forest.root(i) != forest.root(j):
+                        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                        if 100 * both >= PERCENT * (len(sets[i]) + len(sets[j]) - both):
+                            forest.join(i, j)
+                            found.append((k[i], k[j]))
+            if found:
+                pairs = np.array(found, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return dealt.select(*names, "shingles").mapInArrow(run, "a long, b long")
+
+
+def _known(docs: DataFrame, sets: DataFrame, keys: DataFrame, repeats: bool) -> DataFrame:
+    """``k, id, shingles`` of the sets that have one of the keys, made again from the texts.
 
     ``repeats`` says that a set's text may come more than once, as ids are repeated.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
     # If the few numbers that name these texts fit into memory, no text but theirs is moved.
-    holders = broadcast_if_small(sets.join(wanted, "k").select("k", "k2", "id"))
+    holders = broadcast_if_small(sets.join(keys.distinct(), "k").select("k", "k2", "id"))
 
     def run(batches):
         for batch in batches:
@@ -305,7 +373,11 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, repeats: bool)
     texts = docs.join(holders, "id").select("k", "k2", "id", "text")
     known = texts.mapInArrow(run, "k long, k2 long, id long, shingles array<long>")
     known = known.dropDuplicates(["k", "k2"]) if repeats else known
-    known = cut_lineage(known.select("k", "id", "shingles"))
+    return cut_lineage(known.select("k", "id", "shingles"))
+
+
+def _verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Links ``u, v`` (ids) among pairs of set keys, by their whole sets."""
     left = known.select(F.col("k").alias("a"), F.col("id").alias("u"), F.col("shingles").alias("left"))
     right = known.select(F.col("k").alias("b"), F.col("id").alias("v"), F.col("shingles").alias("right"))
     both = F.size(F.array_intersect("left", "right")).cast("long")
@@ -352,7 +424,9 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     with_points = tried
     for x in ("a", "b"):
         with_points = with_points.join(of_tried.select(F.col("k").alias(x), F.col("point").alias(f"point_{x}")), x)
-    star_links = cut_lineage(_verified(named, sets, cut_lineage(_bounded(with_points)), repeats))
+    proposed = cut_lineage(_bounded(with_points))
+    ends = proposed.select(F.explode(F.array("a", "b")).alias("k"))
+    star_links = cut_lineage(_verified(proposed, _known(named, sets, ends, repeats)))
 
     repeated = full.groupBy("id").agg(F.min("k").alias("low"), F.max("k").alias("high")).where("low != high").select("id")
     of_set = sets.select("k", "k2", F.col("id").alias("v"))
@@ -363,8 +437,12 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "k", "n", F.coalesce("component", "id").alias("component")
     )
     placed = stars.where(F.col("meeting").isNotNull()).select(F.col("meeting").alias("cell"), "k").distinct().join(member, "k")
-    crossing = _cross_pairs(placed, points).join(tried, ["a", "b"], "left_anti")
-    more = _verified(named, sets, cut_lineage(crossing), repeats)
+    units = _units(placed, STRIP)
+    groups = cut_lineage(_candidates(units, points(units.select("k")).drop("n")))
+    units = _units(groups.join(member, "k"), SET_STRIP)
+    found = _links(units, _known(named, sets, groups.select("k"), repeats))
+    ids = {x: sets.select(F.col("k").alias(x), F.col("id").alias(y)) for x, y in (("a", "u"), ("b", "v"))}
+    more = found.join(ids["a"], "a").join(ids["b"], "b").select("u", "v")
     final = components(star_links.union(same_id).union(more))
 
     name = sets.join(final, sets["id"] == final["node"], "left").select(

@@ -64,6 +64,7 @@ def corpus(seed):
 @pytest.mark.parametrize("seed,strip", [(1, 4096), (2, 4)])
 def test_classes_equal_brute_force(spark, monkeypatch, seed, strip):
     monkeypatch.setattr(jaccard_join, "STRIP", strip)
+    monkeypatch.setattr(jaccard_join, "SET_STRIP", strip)
     rows = corpus(seed)
     random.Random(seed).shuffle(rows)
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, k int").repartition(5)
