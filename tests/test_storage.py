@@ -59,13 +59,12 @@ def test_region_modes(spark, tmp_path):
         sinks.write_region(df, path, mode="ignore")
 
 
-def test_single_file_only_for_few_rows(spark, tmp_path, monkeypatch):
+def test_single_file_where_it_is_asked_for(spark, tmp_path):
     df = spark.range(100).repartition(4)
     sinks.write_csv(df, str(tmp_path / "one"), single_file=True)
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 10)
-    sinks.write_csv(df, str(tmp_path / "many"), single_file=True)
-    assert len(glob.glob(f"{tmp_path}/one/part-*")) == 1
-    assert len(glob.glob(f"{tmp_path}/many/part-*")) == 4
+    sinks.write_csv(df, str(tmp_path / "many"))
+    assert len(list((tmp_path / "one").glob("part-*"))) == 1
+    assert len(list((tmp_path / "many").glob("part-*"))) == 4
 
 
 def test_latest_run_and_export_preference(spark, tmp_path):
@@ -177,7 +176,7 @@ def test_whole_run(spark, tmp_path):
         Settings(
             raw=str(tmp_path / "raw"), root=root, region="London", run_utc="20260101T000000Z",
             sources=["J0"], event_feed=str(tmp_path / "feed.json"), test_days=1, score_days=5,
-            trees=3, save_model=True,
+            trees=3, fold_trees=3, with_boosting=True, hot_above=0.0, save_model=True,
         ),
     )
     gold = spark.read.parquet(f"{root}/gold/features")
