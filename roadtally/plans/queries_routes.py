@@ -81,16 +81,15 @@ _DOUBLES = [
 ]
 
 
-@query(
-    f"""WITH RECURSIVE {ROUTES},
-summary AS (
+_SUMMARY = f"""summary AS (
   SELECT from_node, to_node, {_side('short')}, {_side('avoid')},
          count(*) FILTER (WHERE {_GONE}) AS explain_removed_edges,
          count(*) FILTER (WHERE {_GONE} AND (hotspot_rate > 0.0 OR penalty_km > 0))
            AS explain_removed_risky_edges,
          count(*) FILTER (WHERE avoid_step IS NOT NULL AND short_step IS NULL) AS added_edges
-  FROM pair_edges GROUP BY 1, 2)
-SELECT from_node, to_node,
+  FROM pair_edges GROUP BY 1, 2)"""
+
+_COMPARED = f"""SELECT from_node, to_node,
        {', '.join(f'round({c}, 6) AS {c}' for c in _DOUBLES)},
        short_n_edges, avoid_n_edges, short_hot_edges, avoid_hot_edges,
        explain_removed_edges, explain_removed_risky_edges, added_edges,
@@ -107,14 +106,51 @@ SELECT from_node, to_node,
             ELSE 'Avoid-route changed, but removed edges were not above threshold '
               || '(graph tie/alternative equal cost).' END AS explain_reason
 FROM summary"""
-)
+
+
+@query(f"WITH RECURSIVE {ROUTES},\n{_SUMMARY}\n{_COMPARED}")
 def route_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reached pairs; all columns but the text of the top five, whose third decimals may tie."""
+    """The numbers and reasons of reached pairs only; ``route_comparison_all`` has the whole result."""
     pairs, found = _found(spark, sf_dir)
     compared = routes.compare_routes(pairs, found).where("reachable")
     return rounded(compared.drop("reachable", "explain_removed_risky_top5"))
 
 
+_PAIRS = f"""pairs AS (
+  SELECT '{SOURCE}' AS from_node, n.node_id AS to_node,
+         n.node_id IN (SELECT node FROM tree) AS reachable
+  FROM nodes n WHERE n.node_id <> '{SOURCE}')"""
+
+
+def _third_place(name: str) -> str:
+    """``%.3f`` as Java writes it: the shortest digits of the double, halves away from zero."""
+    return f"round({name}::VARCHAR::DECIMAL(38, 18), 3)::DECIMAL(38, 3)::VARCHAR"
+
+
+@query(
+    f"""WITH RECURSIVE {ROUTES},
+{_PAIRS},
+{_SUMMARY},
+compared AS (
+{_COMPARED}),
+risky AS (
+  SELECT *, row_number() OVER (PARTITION BY from_node, to_node
+    ORDER BY penalty_km DESC, hotspot_rate DESC, length_km DESC, short_step) AS rank
+  FROM pair_edges WHERE {_GONE} AND (hotspot_rate > 0.0 OR penalty_km > 0)),
+told AS (
+  SELECT from_node, to_node,
+         string_agg(src || '->' || dst || ' (risk=' || {_third_place('hotspot_rate')}
+           || ', penalty=' || {_third_place('penalty_km')} || ')', '; ' ORDER BY rank) AS top5
+  FROM risky WHERE rank <= 5 GROUP BY 1, 2)
+SELECT * EXCLUDE (top5),
+       CASE WHEN reachable THEN coalesce(top5, '') END AS explain_removed_risky_top5
+FROM pairs LEFT JOIN compared USING (from_node, to_node) LEFT JOIN told USING (from_node, to_node)"""
+)
+def route_comparison_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs and columns; a pair without a path has no values."""
+    return rounded(routes.compare_routes(*_found(spark, sf_dir)))
+
+
 def _changes(where: str, step: str) -> str:
     return f"""WITH RECURSIVE {ROUTES}
 SELECT from_node, to_node, src, dst, {step}, round(length_km, 6) AS length_km,
@@ -165,11 +201,7 @@ def route_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routes.path_text(_found(spark, sf_dir)[1])
 
 
-REACH = f"""WITH RECURSIVE {TREE},
-pairs AS (
-  SELECT '{SOURCE}' AS from_node, n.node_id AS to_node,
-         n.node_id IN (SELECT node FROM tree) AS reachable
-  FROM nodes n WHERE n.node_id <> '{SOURCE}')"""
+REACH = f"WITH RECURSIVE {TREE},\n{_PAIRS}"
 
 
 @query(f"{REACH} SELECT * FROM pairs")

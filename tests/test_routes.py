@@ -9,6 +9,7 @@ import random
 import pytest
 
 from roadtally.operators import graph, layers, paths, routes
+from roadtally.plans import queries_routes
 
 RATE = 0.5217391304347826
 GOLDEN = [
@@ -334,3 +335,17 @@ def test_map_choices(golden, nodes):
     assert layers.select_routes(layer, "Bugsby's Way").count() == 2
     assert layers.select_routes(layer, "Bugsby's Way", "avoid_hotspots").count() == 1
     assert layers.first_route(layer).first().length_km == pytest.approx(11.165217391304347)
+
+
+def test_the_registered_comparison_is_whole(spark, tmp_path):
+    rows = [(0, 1, 9.0), (1, 2, 9.0), (5, 6, 9.0)]  # junctions 5 and 6 are not reached from 0
+    table = spark.createDataFrame(rows, "l_partkey long, l_suppkey long, l_quantity double")
+    table.selectExpr(
+        "*", "0.01 as l_tax", "0.02 as l_discount", "'O' as l_linestatus", "'R' as l_returnflag",
+        "1.0D as l_extendedprice",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = queries_routes.route_comparison_all(spark, str(tmp_path))
+    assert "explain_removed_risky_top5" in found.columns
+    assert {r.to_node: (r.reachable, r.short_n_edges) for r in found.collect()} == {
+        "N1": (True, 1), "N2": (True, 2), "N5": (False, None), "N6": (False, None),
+    }
