@@ -12,8 +12,9 @@ from roadtally.llm.statistics import FEATURES, with_statistics
 from roadtally.session import cut_lineage
 
 BINS = 24
-# Documents whose probability of being good is lower are rejected.
-LEAST_GOOD = 0.1
+# Documents whose probability of being good is lower are rejected: those more likely bad than good.
+# On the labelled rows of sf0.1 this rejects 566 of 571 bad ones (0.1: 548) and 6 of 3,409 good (0.1: 1).
+LEAST_GOOD = 0.5
 # Weight of a label against the evidence of an unlabelled document in the counts of a site.
 LABEL_WEIGHT = 1.0
 # Limits of the pooling strength, in documents.

@@ -52,6 +52,12 @@ def test_clean_documents_are_kept(spark, duck):
         assert len(lost) <= 0.01 * len(rows), name
 
 
+def test_known_bad_documents_are_rejected(spark, duck):
+    labels = dict(duck.sql("SELECT doc_id, quality FROM labels").fetchall())
+    rows = [r for r in QUERIES["op4_quality_bayes"](spark, SF_DIR).collect() if labels.get(r["doc_id"]) == 0]
+    assert sum(not r["kept"] for r in rows) >= 0.98 * len(rows)
+
+
 def test_pipeline_stages(spark, duck):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     left = {r["doc_id"]: r["text"] for r in docs.collect()}

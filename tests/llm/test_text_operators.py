@@ -113,6 +113,27 @@ def test_classifier_on_held_out_documents(spark):
     assert all(0 <= r["p_good"] <= 1 for r in rows)
 
 
+def test_documents_more_likely_bad_than_good_are_rejected(spark):
+    rng = random.Random(8)
+    docs, labels = [], []
+    for i in range(1500):
+        bad = i % 5 == 0
+        words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(50)]
+        for k in rng.sample(range(50), sum(rng.random() < (0.7 if bad else 0.25) for _ in range(12))):
+            words[k] += "###"
+        docs.append((i, " ".join(words), f"host{i % 7}", "en"))
+        labels.append((i, int(not bad)))
+    found = classify(
+        spark.createDataFrame(docs, "doc_id long, text string, source string, lang string"),
+        spark.createDataFrame(labels, "doc_id long, quality int"),
+    ).collect()
+    bad, good = ([r["kept"] for r in found if (r["id"] % 5 == 0) == is_bad] for is_bad in (True, False))
+    assert any(0.1 <= r["p_good"] < 0.5 for r in found)
+    assert all(r["kept"] == (r["p_good"] >= 0.5) for r in found)
+    assert bad.count(False) >= 0.88 * len(bad)
+    assert good.count(False) <= 0.05 * len(good)
+
+
 def test_sites_shrink_towards_their_host(spark):
     rows = [("a", "x", 1.0)] * 400 + [("a", "x", 0.0)] * 100 + [("a", "y", 0.0)] + [("b", "x", 0.0)] * 450 + [("b", None, 1.0)] * 50
     rows += [(None, "z", 1.0)]
