@@ -13,25 +13,36 @@ BLOCK_QUERIES = 4_096
 CELL_BITS = 4
 # Scores of whole numbers below this bound are exact in doubles for up to 2**13 components.
 EXACT_BOUND = 2**20
-LARGEST = 2**31
+TOO_LARGE = 2.0**63  # whole numbers from here on are no longs
 
 
 def whole_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
     """``vec_id, vec``: components times ``scale``, rounded down.
 
     Rows whose id or vector is null, or whose vector holds null or non-finite components, take no
-    part, nor do those with a scaled component of 2**31 or more, whose scores might leave the
-    range of a long. A repeated id counts once, with its smallest vector.
+    part. A scaled component that is no long is an error. A repeated id counts once, with its
+    smallest vector.
     """
-    scaled = F.transform(F.col(vector_col).cast("array<double>"), lambda x: x * F.lit(scale))
     usable = F.col("vec_id").isNotNull() & F.forall(
-        "vec", lambda x: F.coalesce(F.abs(x) < LARGEST, F.lit(False))  # also false for NaN
+        "vec", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))  # also false for NaN
     )
-    whole = rows.select(F.col(id_col).alias("vec_id"), scaled.alias("vec")).where(usable)
-    whole = whole.select("vec_id", F.transform("vec", lambda x: F.floor(x)).alias("vec"))
+
+    def whole_number(x: Column) -> Column:
+        x = x * F.lit(scale)
+        return F.when(F.abs(x) < TOO_LARGE, F.floor(x)).otherwise(F.raise_error(F.lit("a scaled component is no long")))
+
+    given = rows.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vec"))
+    whole = given.where(usable).select("vec_id", F.transform("vec", whole_number).alias("vec"))
     return whole.groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
 
+def _ranked(scores: np.ndarray) -> np.ndarray:
+    """Scores as longs; exact ones beyond that range by their place in order."""
+    if scores.dtype == object and len(scores):
+        return np.unique(scores, return_inverse=True)[1].astype(np.int64)
+    return scores.astype(np.int64)
+
+
 def _scan(rows_id, rows, query_id, queries, k):
     """Best ``k`` rows of a block for each query: (query, row, score), exact.
 
@@ -64,7 +75,7 @@ def _scan(rows_id, rows, query_id, queries, k):
                 first = np.argpartition(-own, read - 1)[:read] if read < len(own) else np.arange(len(own))
                 fresh = first[own[first] > -np.inf]
                 scores = exact_rows[fresh] @ exact_queries[a + q] if dims else np.zeros(len(fresh))
-                order = np.lexsort((rows_id[fresh], -scores.astype(np.int64)))[:k]
+                order = np.lexsort((rows_id[fresh], -_ranked(scores)))[:k]
                 chosen, best = fresh[order], scores[order]
                 if read == len(own):
                     break
@@ -83,7 +94,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
 
     ``vectors`` is ``vec_id, vec`` of :func:`whole_vectors`; queries are its rows for which
     ``is_query`` of ``vec_id`` holds. Returns ``query_id, rank, vec_id, score``, ties to the
-    smaller vec_id, fewer than ``k`` where there are fewer vectors. Rows are dealt into blocks, and
+    smaller vec_id, fewer than ``k`` where there are fewer vectors; a score among them that is no
+    long is an error. Rows are dealt into blocks, and
     each block of rows meets each block of queries in a task of its own, which returns ``k`` rows
     for a query. Without vectors there are no rows.
     """

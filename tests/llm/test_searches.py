@@ -153,6 +153,19 @@ def test_top_k_equals_brute_force(spark, monkeypatch, block_rows, block_queries)
     assert sorted(map(tuple, found.collect())) == plain_top(rows, 5)
 
 
+def test_large_components_take_part(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e8, 1.0]), (2, [-3e9, 5.0]), (3, [2e12, 0.25]), (50, [400.0, -1.0]), (4, [-4e15, -3e15])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    vectors = topk.whole_vectors(table, "vec_id", "embedding", 256.0)
+    found = topk.top_k(vectors.where("vec_id < 3 or vec_id = 50"), F.col("vec_id") % 50 == 0, 5)
+    assert sorted(map(tuple, found.collect())) == plain_top([x for x in rows if x[0] < 3 or x[0] == 50], 5)
+    # Only scores that are returned have to be longs.
+    found = topk.top_k(vectors, F.col("vec_id") == 0, 2).collect()
+    assert sorted(map(tuple, found)) == [x for x in plain_top(rows, 2) if x[0] == 0]
+    with pytest.raises(Exception, match="no long"):
+        topk.whole_vectors(table.limit(1).selectExpr("vec_id", "array(1e30F) as embedding"), "vec_id", "embedding", 256.0).collect()
+
+
 def test_top_k_of_nothing(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(topk.whole_vectors(none, "vec_id", "embedding", 256.0), F.col("vec_id") % 50 == 0, 5).count() == 0
