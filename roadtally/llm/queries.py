@@ -16,6 +16,7 @@ from roadtally.llm import (
     jaccard_join,
     licenses,
     merge_replay,
+    merkle,
     packing,
     quality_bayes,
     quality_rules,
@@ -265,3 +266,81 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+# The unsigned CRC-32 of a text of ASCII digits, bit by bit.
+_CRC32 = """xor(list_reduce(list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+        lambda crc, c: list_reduce(range(8)::BIGINT[], lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END), xor(crc, c)),
+        4294967295::BIGINT), 4294967295)"""
+
+
+def _record(*values: str) -> str:
+    parts = [f"CASE WHEN {v} IS NULL THEN '-' ELSE octet_length(encode({v}::VARCHAR)) || ':' || {v}::VARCHAR END" for v in values]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    return f"""{name} AS (
+      SELECT tree, 0 AS level, pos, h, n FROM {leaves}
+      UNION ALL
+      SELECT tree, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2
+      FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 2, n)"""
+
+
+def _climb(name: str, start: str, nodes: str) -> str:
+    return f"""{name} AS (
+      {start}
+      UNION ALL
+      SELECT c.doc_id, c.leaf, c.tree, c.level + 1, c.pos // 2, (c.n + 1) // 2,
+             sha256(CASE WHEN c.pos % 2 = 1 THEN s.h || c.folded ELSE c.folded || coalesce(s.h, '') END),
+             c.proof || coalesce(s.h, '')
+      FROM {name} c LEFT JOIN {nodes} s ON s.tree = c.tree AND s.level = c.level AND s.pos = xor(c.pos, 1)
+      WHERE c.n > 1)"""
+
+
+@_query(
+    f"""
+    WITH RECURSIVE l AS (
+      SELECT doc_id, coalesce('1' || lang, '0') AS tree, {_record('doc_id', 'source', 'lang', 'n_chars', 'text')} AS h,
+             CASE WHEN {_CRC32.format('doc_id')} % 7 = 0
+                  THEN {_record('doc_id', 'source', 'lang', '(n_chars::HUGEINT + 1)', 'text')} END AS bad
+      FROM documents),
+    leaves AS (
+      SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos,
+             count(*) OVER (PARTITION BY tree) AS n FROM l),
+    {_tree('nodes', 'leaves')},
+    subroots AS (
+      SELECT '' AS tree, tree AS subtree, row_number() OVER (ORDER BY tree) - 1 AS pos, h, count(*) OVER () AS n
+      FROM nodes WHERE n = 1),
+    {_tree('tops', 'subroots')},
+    {_climb('low', "SELECT doc_id, h AS leaf, tree, 0 AS level, pos, n, coalesce(bad, h) AS folded, '' AS proof FROM leaves", 'nodes')},
+    {_climb('high', "SELECT a.doc_id, a.leaf, '' AS tree, 0 AS level, s.pos, s.n, a.folded, a.proof FROM low a JOIN subroots s ON s.subtree = a.tree WHERE a.n = 1", 'tops')}
+    SELECT a.doc_id, a.leaf, s.h AS subroot, t.h AS root, sha256(a.proof) AS proof_sha256,
+           a.folded AS folded_root, a.folded = t.h AS verified
+    FROM high a JOIN leaves b ON b.h = a.leaf AND b.doc_id IS NOT DISTINCT FROM a.doc_id
+    JOIN subroots s ON s.subtree = b.tree JOIN tops t ON t.n = 1 WHERE a.n = 1
+    """
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A proof for every document, checked after a seventh of them were tampered with."""
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    altered = merkle.record_hash([*map(F.col, ("doc_id", "source", "lang")), more, F.col("text")])
+    found = merkle.manifest(
+        docs, "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], "lang", altered=F.when(tampered, altered)
+    )
+    given = F.coalesce("altered", "leaf")
+    subroot = merkle.fold(given, F.col("pos"), F.col("n"), F.col("siblings"))
+    folded = found.withColumn("_sub", subroot).withColumn(
+        "folded_root", merkle.fold(F.col("_sub"), F.col("group_pos"), F.col("n_groups"), F.col("group_siblings"))
+    )
+    return folded.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.concat("siblings", "group_siblings"), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
