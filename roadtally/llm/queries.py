@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadtally.llm import (
     chat,
@@ -18,12 +18,14 @@ from roadtally.llm import (
     merge_replay,
     merkle,
     packing,
+    periodic_runs,
     quality_bayes,
     quality_rules,
     token_counts,
     topk,
     warc,
 )
+from roadtally.llm.columns import let, words
 from roadtally.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -344,3 +346,48 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+def planted_periods(doc_id: Column, text: Column) -> Column:
+    """The text; for a tenth of the ids its words from some place on repeat with a period."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w).cast("long")
+        start = F.when(n > 0, g % F.greatest(n, F.lit(1)))
+        period = 1 + F.floor((n - start) / (3 + g % 8))
+
+        def word(x: Column, i: Column) -> Column:
+            place = F.struct(start.alias("a"), period.alias("p"))
+            return let(place, lambda at: F.when(i < at["a"], x).otherwise(F.get(w, (at["a"] + (i - at["a"]) % at["p"]).cast("int"))))
+
+        return F.array_join(F.transform(w, word), " ")
+
+    return F.when((h % 10 == 0) & text.isNotNull(), let(words(text), repeated)).otherwise(text)
+
+
+@_query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, and digests of them and of the text without repeats."""
+    docs = _table(spark, sf_dir, "documents")
+    given = docs.select("doc_id", planted_periods(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.find_runs(given, "doc_id", "text")
+
+    def better(best: Column, run: Column) -> Column:
+        more = run["length"] * best["period"] > best["length"] * run["period"]
+        return F.when(best.isNull() | more, run).otherwise(best)
+
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    best = found.withColumn("best", F.aggregate("runs", none, better))
+    return best.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
