@@ -23,6 +23,7 @@ from roadtally.llm import (
     quality_rules,
     token_counts,
     topk,
+    toxicity,
     warc,
 )
 from roadtally.llm.columns import let, words
@@ -36,6 +37,7 @@ ORACLES: dict[str, str] = {}
 SEQUENCE_TOKENS = 1024
 END_OF_DOCUMENT = 2
 COUNT_LIMIT = 1024
+TOXIC_FROM = 0.3
 
 
 def ship(spark: SparkSession) -> None:
@@ -348,6 +350,23 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query()
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of three quarters of the ids."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    rows = toxicity.fitting_texts(docs, labels.where(part != 2), "doc_id", "text", "lang", "doc_id", "toxic")
+    found = toxicity.score_toxicity(docs, toxicity.learn(rows), "doc_id", "text", "lang")
+    return found.withColumnRenamed("id", "doc_id").select(
+        "doc_id",
+        F.coalesce(part == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+        "threshold",
+        "flagged",
+    )
+
+
 def planted_periods(doc_id: Column, text: Column) -> Column:
     """The text; for a tenth of the ids its words from some place on repeat with a period."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
