@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from roadtally.llm.batches import parts
 from roadtally.llm.columns import narrow
 from roadtally.llm.components import components
 from roadtally.llm.shingles import fold, point, set_key, shingle_set
@@ -38,7 +39,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         times = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
+        for batch in (x for whole in batches for x in parts(whole, 1)):
             out = [[], [], [], []]
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text)
@@ -78,7 +79,7 @@ def _meetings(docs: DataFrame, order: np.ndarray) -> DataFrame:
 
     def run(batches):
         rank = ranks.value
-        for batch in batches:
+        for batch in (x for whole in batches for x in parts(whole, 0)):
             hs, ks, ns = [], [], []
             for text in batch.column(0).to_pylist():
                 s = shingle_set(text)
@@ -358,7 +359,7 @@ def _known(docs: DataFrame, sets: DataFrame, keys: DataFrame, repeats: bool) ->
     holders = broadcast_if_small(sets.join(keys.distinct(), "k").select("k", "k2", "id"))
 
     def run(batches):
-        for batch in batches:
+        for batch in (x for whole in batches for x in parts(whole, "text")):
             found = [shingle_set(t) for t in batch.column("text").to_pylist()]
             same = np.array([set_key(s) for s in found], np.int64).reshape(-1, 2)
             right = (same[:, 0] == np.asarray(batch.column("k"))) & (same[:, 1] == np.asarray(batch.column("k2")))

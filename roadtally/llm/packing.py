@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from roadtally.llm.batches import parts
 from roadtally.llm.columns import narrow
 from roadtally.session import cut_lineage
 
@@ -91,7 +92,7 @@ def token_pieces(
 
     def run(batches):
         encoding = _encoding(path, pattern, marks)
-        for batch in batches:
+        for batch in (x for whole in batches for x in parts(whole, 1)):
             rows: list[list] = [[] for _ in range(5)]
             every = []
             for k, text in enumerate(batch.column(1).to_pylist()):
