@@ -42,7 +42,7 @@ def require_nodes(edges: DataFrame, wanted: DataFrame, column: str) -> None:
         raise ValueError(f"{column} not in the graph: {[r.node_id for r in strangers]}")
 
 
-def _arcs(edges: DataFrame, costs: dict[str, str]) -> DataFrame:
+def stored_arcs(edges: DataFrame, costs: dict[str, str]) -> DataFrame:
     """Arcs with one cost per metric, materialised; a negative or missing cost is an error."""
     arcs, wrong = cut_and_measure(
         edges.select("src", "dst", *[F.col(c).cast("double").alias(m) for m, c in costs.items()]),
@@ -74,7 +74,7 @@ def shortest_paths(
     few candidates of a round are broadcast to it, only rows they meet are compared, and what
     improved is kept beside it as another part.
     """
-    arcs = _arcs(edges, costs)
+    arcs = stored_arcs(edges, costs)
     require_nodes(arcs, sources, "source")
     arcs = arcs.where("src <> dst")
     step_cost = F.lit(None).cast("double")
@@ -176,7 +176,7 @@ def path_steps(tree: DataFrame, targets: DataFrame) -> DataFrame:
 
     ``targets`` holds (source, target) pairs; a pair without a path yields no rows.
     """
-    longest = tree.agg(F.max("hops")).first()[0]
+    longest = tree.agg(F.max("hops")).first()[0] or 0
     keys = ["source", "metric"]
     ends = tree.select(*keys, F.col("node").alias("target"), "node")
     starts = ends.join(broadcast_if_small(targets.distinct()), ["source", "target"])

@@ -20,6 +20,7 @@ from roadtally.operators.paths import (
     require_nodes,
     shortest_paths,
 )
+from roadtally.operators.road_search import pair_tree
 from roadtally.session import broadcast_if_small, cut_lineage
 
 PAIR = ("from_node", "to_node")
@@ -76,7 +77,18 @@ def find_routes(
             [(s, t) for s in sources for t in targets], "source string, target string"
         )
         require_nodes(edges, wanted, "target")
-    tree = shortest_paths(edges, starts)
+    return _route_tables(shortest_paths(edges, starts), wanted, edges)
+
+
+def routes_between(edges: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`find_routes` for a table of pairs, ``source, target``; nothing else is searched for."""
+    edges = cut_lineage(edges)
+    wanted = cut_lineage(wanted.select("source", "target").distinct())
+    tree = cut_lineage(pair_tree(edges, wanted))
+    return _route_tables(tree, wanted, edges)
+
+
+def _route_tables(tree: DataFrame, wanted: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = reachability(tree, wanted).select(
         F.col("source").alias("from_node"), F.col("target").alias("to_node"), "reachable"
     )

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadtally.operators import graph, layers, paths, routes
+from roadtally.operators import graph, layers, paths, road_search, routes
 from roadtally.plans import stand_ins
 from roadtally.plans.registry import query, rounded
-from roadtally.plans.stand_ins import GRAPH, POINTS, ROUTES, SOURCE, TREE
+from roadtally.plans.stand_ins import GRAPH, GRID_TREE, PAIR_TREE, POINTS, ROUTES, SHAPED_TREE, SOURCE, TREE
 
 
 def _tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,54 @@ def avoiding_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tree.select("node", "dist", "hops", "pred"))
 
 
+_TREE_COLUMNS = "route AS metric, node, round(dist, 6) AS dist, hops::INT AS hops, nullif(pred, '') AS pred"
+
+
+@query(
+    f"""WITH RECURSIVE {SHAPED_TREE}
+SELECT {_TREE_COLUMNS} FROM tree UNION ALL SELECT {_TREE_COLUMNS} FROM points"""
+)
+def road_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances over links with shape points, which are contracted before the search."""
+    sources = spark.createDataFrame([(SOURCE,)], "source string")
+    tree = road_search.road_paths(stand_ins.shaped_roads(spark, sf_dir), sources)
+    return rounded(tree.select("metric", "node", "dist", "hops", "pred"))
+
+
+@query(
+    f"""WITH RECURSIVE {PAIR_TREE},
+steps AS (
+  SELECT source, route, node AS to_node, hops AS step, pred AS src, node AS dst
+  FROM tree JOIN (SELECT DISTINCT source, target AS node FROM wanted) USING (source, node) WHERE hops > 0
+  UNION ALL
+  SELECT s.source, s.route, s.to_node, t.hops, t.pred, t.node
+  FROM steps s JOIN tree t ON t.source = s.source AND t.route = s.route AND t.node = s.src WHERE t.hops > 0)
+SELECT source AS from_node, to_node, route, step::INT AS step, src, dst, round(length_km, 6) AS length_km,
+       round(hotspot_rate, 6) AS hotspot_rate, round(weight_km, 6) AS weight_km, round(penalty_km, 6) AS penalty_km
+FROM steps JOIN weighted USING (src, dst)"""
+)
+def pair_route_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both routes of every wanted pair, from a table of pairs with many sources."""
+    return rounded(routes.routes_between(stand_ins.weighted(spark, sf_dir), stand_ins.wanted_pairs(spark, sf_dir))[1])
+
+
+@query(
+    f"""WITH RECURSIVE {PAIR_TREE}
+SELECT DISTINCT w.source AS from_node, w.target AS to_node, t.node IS NOT NULL AS reachable
+FROM wanted w LEFT JOIN tree t ON t.source = w.source AND t.node = w.target"""
+)
+def pair_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routes.routes_between(stand_ins.weighted(spark, sf_dir), stand_ins.wanted_pairs(spark, sf_dir))[0]
+
+
+@query(f"WITH RECURSIVE {GRID_TREE} SELECT {_TREE_COLUMNS} FROM tree")
+def grid_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances over a grid of streets, searched in buckets."""
+    sources = spark.createDataFrame([("3:3",)], "source string")
+    tree = road_search.road_paths(stand_ins.grid_streets(spark, sf_dir), sources)
+    return rounded(tree.select("metric", "node", "dist", "hops", "pred"))
+
+
 @query(
     f"""WITH RECURSIVE {ROUTES}
 SELECT from_node, to_node, route, step, src, dst, round(length_km, 6) AS length_km,

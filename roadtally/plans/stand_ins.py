@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from roadtally.operators.graph import clean_links, edge_table, weight_edges
+from roadtally.operators.graph import clean_links, edge_table, graph_nodes, weight_edges
 from roadtally.operators.hotspots import edge_rates
 from roadtally.operators.series import hourly_totals
 from roadtally.plans.registry import table
@@ -281,25 +281,39 @@ weighted AS (
   FROM edges e LEFT JOIN rates r ON e.src = r.from_node AND e.dst = r.to_node)"""
 )
 
-# Best walk per number of hops, then the best over all hops: distance, fewest hops, least id.
-# Sixty hops are several times the longest best path at the compared scales.
-TREE = (
-    GRAPH
-    + f""",
-arcs AS (
-  SELECT 'shortest_distance' AS route, src, dst, length_km AS cost FROM weighted
-  UNION ALL SELECT 'avoid_hotspots', src, dst, weight_km FROM weighted),
+
+
+def tree_sql(arcs: str, starts: str = f"SELECT '{SOURCE}' AS source") -> str:
+    """CTEs ``walks`` and ``tree`` of best paths over ``arcs``: ``route, src, dst, cost, hops, last``.
+
+    Each turn passes on what improved in the turn before and keeps the best of every node, until
+    nothing improves: least distance, then fewest hops, then the smallest id before.
+    """
+    return f"""
 walks AS (
-  SELECT route, '{SOURCE}' AS node, 0 AS hops, {{'d': 0.0::DOUBLE, 'p': ''}} AS b
-  FROM (VALUES ('shortest_distance'), ('avoid_hotspots')) AS r(route)
+  SELECT source, route, source AS node, 0 AS turn, true AS fresh, {{'d': 0.0::DOUBLE, 'h': 0, 'p': ''}} AS b
+  FROM ({starts}) AS s, (VALUES ('shortest_distance'), ('avoid_hotspots')) AS r(route)
   UNION ALL
-  SELECT w.route, a.dst, w.hops + 1, min({{'d': w.b.d + a.cost, 'p': w.node}})
-  FROM walks w JOIN arcs a ON a.route = w.route AND a.src = w.node
-  WHERE w.hops < 60 GROUP BY w.route, a.dst, w.hops),
+  SELECT source, route, node, turn, x.o = 1 AS fresh, {{'d': x.d, 'h': x.h, 'p': x.p}} AS b FROM (
+    SELECT source, route, node, turn, min(x) AS x FROM (
+      SELECT source, route, node, turn + 1 AS turn, {{'d': b.d, 'h': b.h, 'p': b.p, 'o': 0}} AS x FROM walks
+      UNION ALL
+      SELECT w.source, w.route, a.dst, turn + 1, {{'d': w.b.d + a.cost, 'h': w.b.h + a.hops, 'p': a.last, 'o': 1}}
+      FROM walks w JOIN {arcs} a ON a.route = w.route AND a.src = w.node WHERE w.fresh)
+    GROUP BY source, route, node, turn)
+  WHERE (SELECT bool_or(fresh) FROM walks)),
 tree AS (
-  SELECT route, node, b.d AS dist, b.h AS hops, b.p AS pred FROM (
-    SELECT route, node, min({{'d': b.d, 'h': hops, 'p': b.p}}) AS b
-    FROM walks GROUP BY route, node))"""
+  SELECT source, route, node, b.d AS dist, b.h AS hops, b.p AS pred
+  FROM walks WHERE turn = (SELECT max(turn) FROM walks))"""
+
+
+TREE = (
+    GRAPH
+    + """,
+arcs AS (
+  SELECT 'shortest_distance' AS route, src, dst, length_km AS cost, 1 AS hops, src AS last FROM weighted
+  UNION ALL SELECT 'avoid_hotspots', src, dst, weight_km, 1, src FROM weighted),"""
+    + tree_sql("arcs")
 )
 
 ROUTES = (
@@ -335,3 +349,106 @@ points AS (
     SELECT from_node, to_node, route, 0, src, NULL, NULL, NULL FROM routes WHERE step = 1) r
   LEFT JOIN nodes n ON n.node_id = r.node)"""
 )
+
+
+def wanted_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty sources, each with every twentieth supplier's junction as a target."""
+    key = F.col("s_suppkey")
+    named = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("N"), (key % 20).cast("string")).alias("source"), F.concat(F.lit("N"), key.cast("string")).alias("target")
+    )
+    nodes = graph_nodes(edge_table(links(spark, sf_dir))).select("node_id")
+    for end in ("source", "target"):
+        named = named.join(nodes.withColumnRenamed("node_id", end), end, "left_semi")
+    return named.select("source", "target")
+
+
+PAIR_TREE = (
+    GRAPH
+    + """,
+wanted AS (
+  SELECT 'N' || (s_suppkey % 20) AS source, 'N' || s_suppkey AS target FROM supplier
+  WHERE 'N' || (s_suppkey % 20) IN (SELECT node_id FROM nodes) AND 'N' || s_suppkey IN (SELECT node_id FROM nodes)),
+arcs AS (
+  SELECT 'shortest_distance' AS route, src, dst, length_km AS cost, 1 AS hops, src AS last FROM weighted
+  UNION ALL SELECT 'avoid_hotspots', src, dst, weight_km, 1, src FROM weighted),"""
+    + tree_sql("arcs", "SELECT DISTINCT source FROM wanted")
+)
+
+# ---- a road network with shape points ----------------------------------------------------
+
+# What share of a link's cost each of its pieces takes, by the number of pieces.
+_SHARES = {1: (1.0,), 2: (0.5, 0.5), 3: (0.5, 0.25, 0.25)}
+
+
+def shaped_roads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weighted links, cut at up to two shape points each, as roads come from a map."""
+    links_ = weighted(spark, sf_dir)
+    pieces = F.pmod(F.col("n_rows"), F.lit(3)) + 1
+    name = F.concat_ws(">", "src", "dst")
+    share = F.lit(None).cast("array<double>")
+    for n, shares in _SHARES.items():
+        share = F.when(pieces == n, F.array(*map(F.lit, shares))).otherwise(share)
+    cut = links_.select("src", "dst", "length_km", "weight_km", name.alias("name"), F.posexplode(share).alias("i", "share"))
+    whole = F.when(F.col("share") == 1.0, True).otherwise(False)
+    last = whole | (F.col("share") == 0.25) & (F.col("i") == 2) | (F.col("share") == 0.5) & (F.col("i") == 1)
+    point = lambda i: F.concat(F.col("name"), F.lit("#"), i.cast("string"))
+    return cut.select(
+        F.when(F.col("i") == 0, F.col("src")).otherwise(point(F.col("i"))).alias("src"),
+        F.when(last, F.col("dst")).otherwise(point(F.col("i") + 1)).alias("dst"),
+        (F.col("length_km") * F.col("share")).alias("length_km"),
+        (F.col("weight_km") * F.col("share")).alias("weight_km"),
+    )
+
+
+SHAPED_TREE = (
+    GRAPH
+    + """,
+shaped AS (SELECT *, n_rows % 3 + 1 AS k, src || '>' || dst AS name FROM weighted),
+arcs AS (
+  SELECT 'shortest_distance' AS route, src, dst, length_km AS cost, k AS hops, name, k,
+         CASE WHEN k = 1 THEN src ELSE name || '#' || (k - 1) END AS last FROM shaped
+  UNION ALL
+  SELECT 'avoid_hotspots', src, dst, weight_km, k, name, k,
+         CASE WHEN k = 1 THEN src ELSE name || '#' || (k - 1) END FROM shaped),"""
+    + tree_sql("arcs")
+    + """,
+points AS (
+  SELECT t.route, a.name || '#' || i AS node, t.dist + a.cost * (CASE i WHEN 1 THEN 0.5::DOUBLE ELSE 0.75::DOUBLE END) AS dist,
+         t.hops + i AS hops, CASE WHEN i = 1 THEN a.src ELSE a.name || '#1' END AS pred
+  FROM tree t JOIN arcs a ON a.route = t.route AND a.src = t.node, (VALUES (1), (2)) AS p(i) WHERE i < a.k)"""
+)
+
+# ---- a grid of streets -------------------------------------------------------------------
+
+GRID_SIDE = 24
+
+
+def grid_streets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streets between neighbouring crossings of a grid; a line item counts on one of them."""
+    side = F.lit(GRID_SIDE)
+    x, y = F.col("l_partkey") % side, F.col("l_suppkey") % side
+    down = F.col("l_linenumber") % 2 == 0
+    to_x, to_y = F.when(down, x).otherwise(x + 1), F.when(down, y + 1).otherwise(y)
+    here, there = F.concat_ws(":", x.cast("string"), y.cast("string")), F.concat_ws(":", to_x.cast("string"), to_y.cast("string"))
+    back = F.col("l_linestatus") == "O"
+    return (
+        table(spark, sf_dir, "lineitem")
+        .where((to_x < side) & (to_y < side))
+        .groupBy(F.when(back, there).otherwise(here).alias("src"), F.when(back, here).otherwise(there).alias("dst"))
+        .agg(F.min(F.col("l_quantity") / F.lit(8.0)).alias("length_km"), F.max(F.col("l_quantity") / F.lit(4.0)).alias("weight_km"))
+    )
+
+
+GRID_TREE = f"""cells AS (
+  SELECT l_partkey % {GRID_SIDE} AS x, l_suppkey % {GRID_SIDE} AS y,
+         l_partkey % {GRID_SIDE} + (l_linenumber % 2 <> 0)::INT AS to_x,
+         l_suppkey % {GRID_SIDE} + (l_linenumber % 2 = 0)::INT AS to_y, l_linestatus, l_quantity FROM lineitem),
+streets AS (
+  SELECT CASE WHEN l_linestatus = 'O' THEN to_x || ':' || to_y ELSE x || ':' || y END AS src,
+         CASE WHEN l_linestatus = 'O' THEN x || ':' || y ELSE to_x || ':' || to_y END AS dst,
+         min(l_quantity / 8.0::DOUBLE) AS length_km, max(l_quantity / 4.0::DOUBLE) AS weight_km
+  FROM cells WHERE to_x < {GRID_SIDE} AND to_y < {GRID_SIDE} GROUP BY 1, 2),
+arcs AS (
+  SELECT 'shortest_distance' AS route, src, dst, length_km AS cost, 1 AS hops, src AS last FROM streets
+  UNION ALL SELECT 'avoid_hotspots', src, dst, weight_km, 1, src FROM streets),""" + tree_sql("arcs", "SELECT '3:3' AS source")

@@ -49,6 +49,15 @@ def _bytes(df: DataFrame) -> Column:
     return F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
 
 
+def size_measures(columns: list[str]) -> dict[str, Column]:
+    """Measures of :func:`cut_and_measure` that :func:`is_small` judges a table by."""
+    return {"n": F.count(F.lit(1)), "size": F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*columns)))), F.lit(0))}
+
+
+def is_small(seen: dict, max_rows: int = BROADCAST_ROWS) -> bool:
+    return seen["n"] <= max_rows and seen["size"] <= BROADCAST_BYTES
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether a stored table may be broadcast; counted by all tasks, so no rows move."""
     seen = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(_bytes(df), F.lit(0)).alias("size")).first()
