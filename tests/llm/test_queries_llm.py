@@ -8,6 +8,7 @@ import os
 import pytest
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from compare import connect, difference
 from roadtally.llm.queries import ORACLES, QUERIES
 from test_searches import plain_components
@@ -87,6 +88,23 @@ def test_one_of_each_class_stays(spark):
     assert out == sorted([rows[0], *rows[3:]], key=str)
 
 
+def test_rows_of_a_repeated_id_are_told_apart(spark):
+    one, other = (" ".join(f"{c}{i}" for i in range(30)) for c in "xy")
+    rows = [(3, one), (3, other), (4, one), (2, ""), (2, other), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted(map(tuple, corpus_pipeline.ngram_jaccard(spark, docs, SF_DIR).collect()), key=str)
+    assert out == sorted([(3, one), (2, ""), (2, other), (None, one)], key=str)
+
+
+def test_rejected_rows_go_by_id_and_text(spark):
+    rows = [(1, "a", 1), (1, "b", 2), (None, "a", 3), (2, None, 4), (2, None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key int").withColumn("_rejected_id", F.lit(0))
+    gone = docs.where("_key in (1, 3, 4)").select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"))
+    out = corpus_pipeline._without(docs, gone)
+    assert out.columns == docs.columns and [r["_key"] for r in out.collect()] == [2]
+    assert corpus_pipeline._without(docs.limit(0), gone).isEmpty()
+
+
 def test_the_rest_does_not_need_this_folder():
     assert importlib.util.find_spec("roadtally.plans.registry") is not None
     import roadtally
