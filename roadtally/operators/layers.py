@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 from roadtally.functions.geojson import line_feature, position
 from roadtally.operators.paths import climb
 from roadtally.operators.routes import PAIR, ROUTE, route_points
+from roadtally.operators.trails import forked_trails
 from roadtally.session import broadcast_if_small, cut_lineage
 
 ALL_ROUTES = "ALL"
@@ -135,7 +136,7 @@ def order_steps(rows: DataFrame, order: str) -> DataFrame:
     way keeps the order of its rows.
 
     Where no node has two ways out, as on every shortest path, links are followed with doubling
-    steps.  The other routes advance together, one edge per round.
+    steps.  The loops and chains of the other routes are spliced (``forked_trails``).
     """
     keys = list(ROUTE)
     edges = cut_lineage(
@@ -152,7 +153,7 @@ def order_steps(rows: DataFrame, order: str) -> DataFrame:
     longest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     walked = climb(starts, plain, keys, longest).withColumnRenamed("offset", "step")
     if not forked.isEmpty():
-        walked = walked.unionByName(_walk_forked(edges.join(forked, keys, "left_semi"), keys))
+        walked = walked.unionByName(forked_trails(edges.join(forked, keys, "left_semi"), keys))
     walked = cut_lineage(walked)
 
     arrived = walked.where("node = to_node").groupBy(*keys).agg(F.min("step").alias("last"))
@@ -179,29 +180,6 @@ def order_steps(rows: DataFrame, order: str) -> DataFrame:
     return chained.select(*keys, "step", "node").unionByName(in_order)
 
 
-def _walk_forked(edges: DataFrame, keys: list[str]) -> DataFrame:
-    """Walk all routes in step; the n-th visit of a node leaves by its n-th edge."""
-    edges = cut_lineage(edges.select(*keys, F.col("src").alias("node"), "nth", "dst"))
-    trail = cut_lineage(
-        edges.select(*keys).distinct().select(*keys, F.col("from_node").alias("node"), F.lit(0).alias("step"))
-    )
-    turn = 0
-    while True:
-        visits = trail.groupBy(*keys, "node").agg(
-            F.count(F.lit(1)).alias("nth"), F.max("step").alias("step")
-        )
-        moves = (
-            visits.where(F.col("step") == turn)
-            .join(edges, [*keys, "node", "nth"])
-            .select(*keys, F.col("dst").alias("node"), F.lit(turn + 1).alias("step"))
-        )
-        moves = cut_lineage(moves)
-        if moves.isEmpty():
-            return trail
-        trail = cut_lineage(trail.unionByName(moves))
-        turn += 1
-
-
 def route_layer_from_rows(rows: DataFrame, nodes: DataFrame, order: str) -> DataFrame:
     """The map's route layer from unordered edge rows; sums cover every row of the route."""
     places = broadcast_if_small(nodes.select(F.col("node_id").alias("node"), "lon", "lat"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.window import Window
 
 from roadtally.operators import graph, layers, paths, road_search, routes
 from roadtally.plans import stand_ins
 from roadtally.plans.registry import query, rounded
 from roadtally.plans.stand_ins import GRAPH, GRID_TREE, PAIR_TREE, POINTS, ROUTES, SHAPED_TREE, SOURCE, TREE
+from roadtally.session import scratch_path
+from roadtally.sources import readers, sinks
 
 
 def _tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,6 +409,67 @@ def route_features_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drawn(layer, "hotspot_mean", "hotspot_max", "route_id")
 
 
+@query(f"{_LAYER} SELECT * FROM layer")
+def foreign_route_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same layer from CSV files of nodes and routes that name their columns otherwise."""
+    found = _found(spark, sf_dir)[1].orderBy("from_node", "to_node", "route", "step")
+    nodes = graph.node_table(stand_ins.links(spark, sf_dir))
+    routes_at, nodes_at = scratch_path(spark, "routes"), scratch_path(spark, "nodes")
+    sinks.write_csv(
+        found.select(
+            F.col("from_node").alias("From"), F.col("to_node").alias("To"), F.col("route").alias("Strategy"), F.col("src").alias("u"),
+            F.col("dst").alias("v"), F.col("length_km").alias("len_km"), "weight_km", F.col("hotspot_rate").alias("Risk"),
+        ),
+        routes_at,
+    )
+    sinks.write_csv(nodes.select(F.col("node_id").alias("Name"), F.col("lon").alias("lng"), F.col("lat").alias("y")), nodes_at)
+    rows = readers.route_edges_csv(spark, routes_at)
+    layer = layers.route_layer_from_rows(rows.repartition("src"), readers.nodes_csv(spark, nodes_at), "place")
+    return _drawn(layer, "hotspot_mean", "hotspot_max", "route_id")
+
+
+@query(
+    f"""WITH RECURSIVE {ROUTES},
+sized AS (SELECT *, count(*) OVER (PARTITION BY from_node, to_node, route) AS n FROM routes),
+laid AS (
+  SELECT from_node, to_node, route, n, step * 10 AS place, dst, true AS walked FROM sized WHERE n % 4 <> 0 OR step < n
+  UNION ALL SELECT from_node, to_node, route, n, step * 10 - 4, 'bay ' || src, true FROM sized WHERE step % 3 = 1
+  UNION ALL SELECT from_node, to_node, route, n, step * 10 - 3, 'quay ' || src, true FROM sized WHERE step % 3 = 1
+  UNION ALL SELECT from_node, to_node, route, n, step * 10 - 2, 'bay ' || src, true FROM sized WHERE step % 3 = 1
+  UNION ALL SELECT from_node, to_node, route, n, step * 10 - 1, src, true FROM sized WHERE step % 3 = 1
+  UNION ALL SELECT from_node, to_node, route, n, step * 10 + 5, 'late ' || src, false FROM sized WHERE step % 3 = 2)
+SELECT from_node, to_node, route, 0 AS step, src AS node FROM sized WHERE step = 1
+UNION ALL
+SELECT from_node, to_node, route, row_number() OVER (PARTITION BY from_node, to_node, route ORDER BY place)::INT, dst
+FROM laid WHERE walked OR n % 4 = 0"""
+)
+def route_trails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of routes read from files: with loops in loops and forks; some end short of their target.
+
+    Every third node begins with a bay and a quay off it, another has a way that is never needed;
+    routes of a length divisible by four lack their last edge and keep the order of the file.
+    """
+    pair = ["from_node", "to_node", "route"]
+    length = F.count(F.lit(1)).over(Window.partitionBy(*pair))
+    bay, quay, late = (F.concat(F.lit(name), F.col("src")) for name in ("bay ", "quay ", "late "))
+
+    def edge(by: int, src: Column, dst: Column) -> Column:
+        return F.struct((F.col("step") * 10 + by).alias("at"), src.alias("src"), dst.alias("dst"))
+
+    src = F.col("src")
+    detour = F.array(edge(-4, src, bay), edge(-3, bay, quay), edge(-2, quay, bay), edge(-1, bay, src))
+    nothing = F.slice(detour, 1, 0)
+    edges = F.concat(
+        F.when(F.col("step") % 3 == 1, detour).otherwise(nothing),
+        F.when((F.col("n") % 4 != 0) | (F.col("step") < F.col("n")), F.array(edge(0, src, F.col("dst")))).otherwise(nothing),
+        F.when(F.col("step") % 3 == 2, F.array(edge(5, src, late))).otherwise(nothing),
+    )
+    laid = _found(spark, sf_dir)[1].withColumn("n", length).select(*pair, F.inline(edges)).orderBy(*pair, "at")
+    path = scratch_path(spark, "trails")
+    sinks.write_csv(laid.drop("at"), path)
+    return layers.order_steps(readers.route_edges_csv(spark, path).repartition("src"), "place")
+
+
 @query(
     f"""{_LAYER}
 SELECT DISTINCT 'destination' AS kind, to_node AS value FROM layer

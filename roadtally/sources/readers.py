@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from roadtally import schemas
 from roadtally.functions.columns import resolve_column
 from roadtally.functions.parsing import first_list, first_text
+from roadtally.sources.foreign import resolved
 
 
 def csv_strings(spark: SparkSession, path: str) -> DataFrame:
@@ -79,7 +80,8 @@ def edges_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def nodes_csv(spark: SparkSession, path: str) -> DataFrame:
-    return csv_typed(spark, path, schemas.NODES)
+    """Nodes with their positions, whatever known names the columns have."""
+    return resolved(csv_strings(spark, path), "nodes")
 
 
 def edge_rates_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -87,7 +89,22 @@ def edge_rates_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def route_edges_csv(spark: SparkSession, path: str) -> DataFrame:
-    return csv_typed(spark, path, schemas.ROUTE_EDGES)
+    """Route rows under any known column names, with ``place``, their order in the files."""
+    return resolved(in_file_order(csv_strings(spark, path), "place"), "routes", "place")
+
+
+def in_file_order(scan: DataFrame, name: str) -> DataFrame:
+    """A scan of files with a sortable column: file, block, and place among the rows of the block.
+
+    A block is read by one task in order, so the numbers that Spark gives the rows of a scan rise
+    within it. They must be given to the scan itself, before any shuffle.
+    """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return scan.withColumn(name, place)
 
 
 def latest_run(runs: DataFrame, stamp: str = "run_utc") -> DataFrame:
