@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from roadtally.operators.paths import climb
 from roadtally.session import cut_lineage
 
 # So many rounds of a walk are kept as tables of their own before they are stored as one.
@@ -80,13 +79,10 @@ def _spliced(legs: DataFrame, links: DataFrame, keys: list[str]) -> tuple[DataFr
     Legs that only lead to each other in a ring have no first one; no trail gets there.
     """
     here = legs.withColumn("node", _leg("src", F.col("nth")))
-    order = Window.partitionBy(*keys, "src").orderBy("nth")
-    heads = (
-        here.join(links.select(*keys, F.col("up").alias("node")), [*keys, "node"], "left_anti")
-        .select(*keys, "src", "node", F.row_number().over(order).alias("nth"))
-    )
-    longest = links.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    run = climb(heads, links, keys, longest)
+    order = Window.partitionBy(*keys, "head.src").orderBy("head.nth")
+    run = _ranked(here.select(*keys, "node"), links, keys)
+    heads = run.where("offset = 0").select(*keys, "head", F.row_number().over(order).alias("nth"))
+    run = run.join(heads, [*keys, "head"]).select(*keys, F.col("head.src").alias("src"), "nth", "node", "offset")
     parts = run.join(here.select(*keys, "node", "dst", "size"), [*keys, "node"])
     before = Window.partitionBy(*keys, "src", "nth").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
     parts = cut_lineage(parts.withColumn("at", F.coalesce(F.sum("size").over(before), F.lit(0))))
@@ -96,6 +92,35 @@ def _spliced(legs: DataFrame, links: DataFrame, keys: list[str]) -> tuple[DataFr
     return cut_lineage(longer), parts.select(*keys, "src", "nth", F.col("node").alias("leg"), "at")
 
 
+def _ranked(nodes: DataFrame, links: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, node, head, offset``: the first of the run each node is in, and the links from it.
+
+    Pointers to what comes before double their reach until a round settles no node; what then still
+    has a pointer is in a ring and left out.
+    """
+    back = links.select(*keys, F.col("up").alias("node"), F.col("node").alias("back"))
+    state = nodes.join(back, [*keys, "node"], "left").select(
+        *keys, "node", "back", F.when(F.col("back").isNull(), F.col("node")).alias("head"), F.col("back").isNotNull().cast("int").alias("offset")
+    )
+    state = cut_lineage(state)
+    open_before, still_open = None, state.where("back is not null").count()
+    while still_open and still_open != open_before:
+        ahead = state.select(
+            *keys, F.col("node").alias("back"), F.col("back").alias("next"), F.col("head").alias("found"), F.col("offset").alias("more")
+        )
+        state = cut_lineage(
+            state.join(ahead, [*keys, "back"], "left").select(
+                *keys,
+                "node",
+                F.col("next").alias("back"),
+                F.coalesce("head", "found").alias("head"),
+                (F.col("offset") + F.coalesce("more", F.lit(0))).alias("offset"),
+            )
+        )
+        open_before, still_open = still_open, state.where("back is not null").count()
+    return state.where("back is null").drop("back")
+
+
 def _walked(legs: DataFrame, starts: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, src, nth, at`` of the legs that the trails take, all routes a leg a round."""
     state = starts.select(*keys, "node", F.lit(1).alias("nth"), F.lit(True).alias("here"), F.lit(0).cast("long").alias("at"))
