@@ -14,6 +14,7 @@ from roadtally.functions.columns import (
     resolve_column,
 )
 from roadtally.functions.parsing import clip, to_number
+from roadtally.operators.quantiles import weighted_medians
 
 # Penalty strength and the shortest link kept.
 ALPHA = 2.0
@@ -64,9 +65,8 @@ def endpoints(links: DataFrame) -> DataFrame:
 def node_table(links: DataFrame, how: str = "mean") -> DataFrame:
     """Position and row count per node.
 
-    For the median, rows are first counted per node and distinct coordinate.  That happens
-    map-side and spreads a busy node over tasks; the final step sees one entry per distinct
-    coordinate, and a counting point has one.
+    For the median, rows are first counted per node and distinct coordinate, which happens map-side;
+    :func:`weighted_medians` takes the counts and orders few coordinates of a node in any task.
     """
     ends = endpoints(links)
     if how == "mean":
@@ -76,11 +76,8 @@ def node_table(links: DataFrame, how: str = "mean") -> DataFrame:
     if how != "median":
         raise ValueError(f"how must be mean or median, not {how!r}")
     places = ends.groupBy("node_id", "lon", "lat").agg(F.count(F.lit(1)).alias("n"))
-    return places.groupBy("node_id").agg(
-        F.percentile("lon", F.lit(0.5), F.col("n")).alias("lon"),
-        F.percentile("lat", F.lit(0.5), F.col("n")).alias("lat"),
-        F.sum("n").alias("n_rows"),
-    )
+    medians = weighted_medians(places, "node_id", ["lon", "lat"], "n")
+    return medians.withColumnRenamed("n", "n_rows")
 
 
 def undirected(edges: DataFrame) -> DataFrame:
