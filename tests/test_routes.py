@@ -344,7 +344,7 @@ def test_the_registered_comparison_is_whole(spark, tmp_path):
         "*", "0.01 as l_tax", "0.02 as l_discount", "'O' as l_linestatus", "'R' as l_returnflag",
         "1.0D as l_extendedprice",
     ).write.parquet(f"{tmp_path}/lineitem.parquet")
-    found = queries_routes.route_comparison_all(spark, str(tmp_path))
+    found = queries_routes.route_comparison(spark, str(tmp_path))
     assert "explain_removed_risky_top5" in found.columns
     assert {r.to_node: (r.reachable, r.short_n_edges) for r in found.collect()} == {
         "N1": (True, 1), "N2": (True, 2), "N5": (False, None), "N6": (False, None),
