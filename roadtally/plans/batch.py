@@ -188,9 +188,8 @@ def route_step(spark: SparkSession, s: Settings) -> None:
 
 def map_step(spark: SparkSession, s: Settings) -> None:
     """Export the newest run and draw both map layers from the stored tables."""
-    newest = readers.latest_run(
-        _of_region(spark, f"{s.root}/gold/route_analysis", s.region)
-    ).drop("region", "run_utc")
+    runs = readers.latest_committed(spark, f"{s.root}/gold/route_analysis", s.region)
+    newest = runs.drop("region", "run_utc")
     newest.write.mode("overwrite").parquet(f"{s.root}/gold/exports/routes_edges")
     stored = readers.latest_routes(spark, f"{s.root}/gold", s.region)
     nodes = spark.read.parquet(f"{s.root}/gold/nodes")

@@ -191,19 +191,49 @@ def geojson_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.schema(layout).json(path).select("properties.*"))
 
 
-@query(
-    f"""WITH {GRAPH}
-SELECT line, count(*) AS n_lines FROM (
-  SELECT 'feature' AS line
+_DRAWN = f"""WITH {GRAPH},
+drawn AS (
+  SELECT row_number() OVER (
+           ORDER BY '{{"from_node":"' || r.from_node || '","to_node":"' || r.to_node || '"}}') - 1 AS rank,
+         r.from_node, r.to_node, round(r.hotspot_rate, 6) AS hotspot_rate, round(a.lon, 6) AS src_lon,
+         round(a.lat, 6) AS src_lat, round(b.lon, 6) AS dst_lon, round(b.lat, 6) AS dst_lat
   FROM rates r JOIN nodes a ON a.node_id = r.from_node JOIN nodes b ON b.node_id = r.to_node
-  WHERE a.lon IS NOT NULL AND b.lon IS NOT NULL
-  UNION ALL SELECT 'frame' UNION ALL SELECT 'frame')
-GROUP BY 1"""
-)
-def geojson_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A collection over sorted part files: its two frame lines and one line per feature."""
+  WHERE a.lon IS NOT NULL AND b.lon IS NOT NULL)"""
+
+
+def _read_back(spark: SparkSession, sf_dir: str, limit: int | None = None) -> DataFrame:
     path = scratch_path(spark, "collection")
     features = layers.hotspot_features(_hotspot_lines(spark, sf_dir, 0.0))
-    sinks.write_collection(features, path, ["from_node", "to_node"])
-    kind = F.when(F.contains("value", F.lit('"Feature",')), "feature").otherwise("frame")
-    return spark.read.text(path).groupBy(kind.alias("line")).agg(F.count(F.lit(1)).alias("n_lines"))
+    sinks.write_collection(features, path, ["from_node", "to_node"], limit)
+    layout = (
+        "geometry struct<type:string,coordinates:array<array<double>>>, "
+        "properties struct<from_node:string,to_node:string,hotspot_rate:double>"
+    )
+    ends = [
+        F.col("geometry.coordinates")[i][j].alias(f"{end}_{axis}")
+        for i, end in enumerate(("src", "dst"))
+        for j, axis in enumerate(("lon", "lat"))
+    ]
+    return rounded(readers.collection_features(spark, path, layout).select("rank", "properties.*", *ends))
+
+
+@query(f"{_DRAWN} SELECT * FROM drawn")
+def geojson_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A collection over sorted part files, read back as one document, each feature with its place."""
+    return _read_back(spark, sf_dir)
+
+
+@query(f"{_DRAWN}, cut AS (SELECT * FROM drawn ORDER BY from_node, to_node LIMIT 120) SELECT * FROM cut")
+def geojson_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 120 lines only: a map's limit is the feature here."""
+    return _read_back(spark, sf_dir, limit=120)
+
+
+@query(f"WITH RECURSIVE {ROUTES} SELECT from_node, to_node, route, step, src, dst FROM routes")
+def committed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A newer run broke off after its first rows: without a manifest it is passed over."""
+    root = scratch_path(spark, "runs")
+    found = _found(spark, sf_dir)[1].select("from_node", "to_node", "route", "step", "src", "dst")
+    sinks.write_run(found, f"{root}/route_analysis", "London", RUN)
+    found.where("step <= 2").write.parquet(f"{root}/route_analysis/region=London/run_utc=20260102T000000Z")
+    return readers.latest_routes(spark, root, "London").drop("region", "run_utc")

@@ -6,11 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.window import Window
 
 from roadtally import schemas
 from roadtally.functions.columns import resolve_column
 from roadtally.functions.parsing import first_list, first_text
+from roadtally.session import broadcast_if_small, cut_lineage
 from roadtally.sources.foreign import resolved
+from roadtally.sources.sinks import COLLECTION_END, COLLECTION_START, manifest_path, run_files
 
 
 def csv_strings(spark: SparkSession, path: str) -> DataFrame:
@@ -107,6 +110,43 @@ def in_file_order(scan: DataFrame, name: str) -> DataFrame:
     return scan.withColumn(name, place)
 
 
+def collection_features(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    """The features of a collection in the part files of ``path``, with their ``rank`` from 0.
+
+    Lines are numbered over all part files in the order of their names, from the rows of each block;
+    no file is read whole.  The document is checked as it stands: its frame, a comma before every
+    feature but the first, and that each feature parses by ``layout``.  Anything else is an error.
+    """
+    lines = in_file_order(spark.read.text(path), "place").select("value", "place.*")
+    name_order = F.struct(F.length("file").alias("length"), "file", "block")
+    numbered = lines.select("value", name_order.alias("part"), "row")
+    blocks = numbered.groupBy("part").agg(F.min("row").alias("first_row"), F.count(F.lit(1)).alias("n"))
+    # One row for each block of a file, far fewer than lines.
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = blocks.withColumn("start", F.coalesce(before, F.lit(0))).drop("n")
+    placed = cut_lineage(
+        numbered.join(broadcast_if_small(starts), "part").select(
+            "value", (F.col("start") + F.col("row") - F.col("first_row")).alias("line")
+        )
+    )
+    total = placed.count()
+    led = F.col("value").startswith(",")
+    text = F.when(led, F.substr("value", F.lit(2))).otherwise(F.col("value"))
+    body = placed.where((F.col("line") > 0) & (F.col("line") < total - 1)).select(
+        (F.col("line") - 1).alias("rank"),
+        led.alias("led"),
+        F.from_json(text, f"type string, {layout}").alias("feature"),
+    )
+    frame = placed.where(F.col("line").isin(0, total - 1)).orderBy("line").collect()
+    if [r["value"] for r in frame] != [COLLECTION_START, COLLECTION_END]:
+        raise ValueError(f"{path} does not begin and end as a collection")
+    right = (F.col("led") == (F.col("rank") > 0)) & (F.col("feature.type") == "Feature")
+    wrong = body.where(~F.coalesce(right, F.lit(False))).select("rank").first()
+    if wrong is not None:
+        raise ValueError(f"{path}: feature {wrong['rank']} is not led or written as it should")
+    return body.select("rank", "feature.*").drop("type")
+
+
 def latest_run(runs: DataFrame, stamp: str = "run_utc") -> DataFrame:
     """Rows of the newest run; the UTC stamp sorts as text.
 
@@ -117,6 +157,29 @@ def latest_run(runs: DataFrame, stamp: str = "run_utc") -> DataFrame:
     return runs.where(F.col(stamp) == F.lit(newest))
 
 
+def latest_committed(spark: SparkSession, path: str, region: str) -> DataFrame:
+    """Rows of the newest run of a region that has a manifest, once its files are found whole.
+
+    Newer folders without a manifest belong to runs that broke off and are passed over.  Only the
+    chosen folder is listed and counted.  A committed run whose files changed since is an error;
+    one that wrote no rows gives an empty table with the columns of the other runs.
+    """
+    layout = "file string, n_rows bigint, region string, run_utc string"
+    manifests = spark.read.schema(layout).json(manifest_path(path)).where(F.col("region") == region)
+    newest = manifests.agg(F.max("run_utc").alias("newest")).first()["newest"]
+    if newest is None:
+        raise FileNotFoundError(f"no committed run of {region} below {path}")
+    listed = manifests.where((F.col("run_utc") == newest) & (F.col("file") != "")).select("file", "n_rows")
+    runs = spark.read.parquet(path)
+    run = runs.where((F.col("region") == region) & (F.col("run_utc") == newest))
+    stored = run_files(run)
+    both = stored.withColumn("sign", F.lit(1)).unionByName(listed.withColumn("sign", F.lit(-1)))
+    odd = both.groupBy("file", "n_rows").agg(F.sum("sign").alias("sign")).where("sign <> 0")
+    if not odd.isEmpty():
+        raise ValueError(f"the files of run {newest} of {region} differ from its manifest")
+    return run
+
+
 def first_readable(spark: SparkSession, paths: Sequence[str], **options) -> DataFrame:
     """The first of several Parquet locations that exists: stable export before run folders."""
     for path in paths:
@@ -129,14 +192,13 @@ def first_readable(spark: SparkSession, paths: Sequence[str], **options) -> Data
 
 
 def latest_routes(spark: SparkSession, root: str, region: str) -> DataFrame:
-    """Route edges by preference: bulk export, single-route export, newest run of the region."""
+    """Route edges by preference: bulk export, single-route export, newest finished run."""
     try:
         return first_readable(
             spark, [f"{root}/exports/routes_edges", f"{root}/exports/route_edges"]
         )
     except FileNotFoundError:
-        runs = spark.read.parquet(f"{root}/route_analysis")
-        return latest_run(runs.where(F.col("region") == region))
+        return latest_committed(spark, f"{root}/route_analysis", region)
 
 
 def disruption_feed(spark: SparkSession, path: str, one_per_line: bool = True) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import json
+import os
 import random
 
 import pytest
@@ -189,3 +190,62 @@ def test_whole_run(spark, tmp_path):
         assert len(json.loads(joined_text(f"{root}/map/{layer}"))["features"]) == n
     assert json.loads(joined_text(f"{root}/gold/run_metadata"))["targets_reached"] == 3
     assert json.loads(joined_text(f"{root}/gold/graph_metadata"))["edges"] == 5
+
+
+def test_runs_that_broke_off_are_passed_over(spark, tmp_path):
+    path = str(tmp_path / "route_analysis")
+    df = spark.range(20).repartition(3)
+    sinks.write_run(df, path, "London", "20260101T000000Z")
+    sinks.write_run(df, path, "Leeds", "20260105T000000Z")
+    df.limit(3).write.parquet(f"{path}/region=London/run_utc=20260102T000000Z")
+    newest = readers.latest_committed(spark, path, "London")
+    assert newest.count() == 20 and newest.select("run_utc").distinct().collect() == [("20260101T000000Z",)]
+    # A repeated run replaces its own manifest only.
+    sinks.write_run(df.limit(5), path, "London", "20260101T000000Z")
+    assert readers.latest_committed(spark, path, "London").count() == 5
+    assert readers.latest_committed(spark, path, "Leeds").count() == 20
+    with pytest.raises(FileNotFoundError):
+        readers.latest_committed(spark, path, "York")
+    # A finished run without rows is the newest; a file lost after the commit is an error.
+    sinks.write_run(df.where("id < 0"), path, "London", "20260103T000000Z")
+    assert readers.latest_committed(spark, path, "London").count() == 0
+    lost = glob.glob(f"{path}/region=Leeds/run_utc=*/part-*.parquet")[0]
+    (tmp_path / "moved").mkdir()
+    os.rename(lost, str(tmp_path / "moved" / "part.parquet"))
+    spark.catalog.clearCache()
+    with pytest.raises(ValueError, match="manifest"):
+        readers.latest_committed(spark, path, "Leeds")
+
+
+LAYOUT = "properties struct<n:int>"
+
+
+def test_collections_are_read_back_in_order(spark, tmp_path):
+    rows = spark.range(300).selectExpr(
+        "lpad(id div 3, 4, '0') as k", "named_struct('type', 'Feature', 'properties', named_struct('n', cast(id as int))) as feature"
+    )
+    path = str(tmp_path / "layer")
+    # Every key is there three times; the smallest one too.
+    sinks.write_collection(rows.repartition(5), path, ["k"])
+    document = json.loads(joined_text(path))
+    ranked = readers.collection_features(spark, path, LAYOUT).orderBy("rank").collect()
+    assert [r.properties.n for r in ranked] == [f["properties"]["n"] for f in document["features"]]
+    assert [r["rank"] for r in ranked] == list(range(300)) and ranked[0].properties.n < 3
+    sinks.write_collection(rows.limit(0), path, ["k"])
+    assert readers.collection_features(spark, path, LAYOUT).count() == 0
+
+
+@pytest.mark.parametrize(
+    "lines, told",
+    [
+        (['{"type":"Feature"}', ',{"type":"Feature"}'], "begin and end"),
+        (['{"type":"FeatureCollection","features":[', '{"type":"Feature"}', '{"type":"Feature"}', "]}"], "feature 1"),
+        (['{"type":"FeatureCollection","features":[', ',{"type":"Feature"}', "]}"], "feature 0"),
+        (['{"type":"FeatureCollection","features":[', '{"type":"Feat', "]}"], "feature 0"),
+        ([], "begin and end"),
+    ],
+)
+def test_broken_collections_are_errors(spark, tmp_path, lines, told):
+    (tmp_path / "part-00000.txt").write_text("".join(f"{x}\n" for x in lines))
+    with pytest.raises(ValueError, match=told):
+        readers.collection_features(spark, str(tmp_path), LAYOUT)
