@@ -96,10 +96,15 @@ def down_sample(df: DataFrame, max_rows: int, key: Sequence[str], n_rows: int |
 
 def random_split(df: DataFrame, key: Sequence[str], train: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Two parts; a row's ``key`` tells where it goes."""
-    first = row_bucket(*key) < F.lit(int(train * BUCKETS))
+    first = split_test(key, train)
     return df.where(first), df.where(~first)
 
 
+def split_test(key: Sequence[str], train: float = 0.8) -> Column:
+    """Whether a row belongs to the larger part of :func:`random_split`."""
+    return row_bucket(*key) < F.lit(int(train * BUCKETS))
+
+
 def model_rows(
     df: DataFrame, label: str, features: Sequence[str] | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -123,9 +128,9 @@ def last_days_split(df: DataFrame, ts: str, days: int) -> tuple[DataFrame, DataF
     return df.where(F.col(ts) <= cutoff), df.where(F.col(ts) > cutoff)
 
 
-def lag_baseline(df: DataFrame, label: str, lag: str) -> DataFrame:
+def lag_baseline(df: DataFrame, label: str, lag: str, keep: Sequence[str] = ()) -> DataFrame:
     """The value so many rows back as the forecast: ``lag_1h`` persists, ``lag_24h`` is seasonal."""
-    return df.select(F.col(label).alias("label"), F.col(lag).alias("prediction"))
+    return df.select(*keep, F.col(label).alias("label"), F.col(lag).alias("prediction"))
 
 
 def walk_forward(
