@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window, WindowSpec
 
 from roadtally.functions.columns import series_and_volume
 from roadtally.functions.parsing import severity_score
 from roadtally.operators.cleaning import tag_region
-from roadtally.session import broadcast_if_small, cut_and_measure, cut_lineage
+from roadtally.session import broadcast_if_small, cut_and_measure, scratch_path
 
 LAGS = (1, 2, 24)
 ROLL_ROWS = 24
@@ -62,11 +63,11 @@ def sequence_features(
     """Lags, rolling statistics and the target, counted in rows of each series.
 
     ``order`` starts with the timestamp and must order a series totally.  Rows are one shuffle
-    and one sort away from their features.  A series of more than ``split_above`` rows is cut
-    into stretches of about so many rows at quantiles of its timestamps, so tasks grow in number
-    with the rows; rows of one timestamp stay together, and rows without one are a stretch of
-    their own.  The few rows near a cut, whose frame reaches over it, are computed from the rows
-    around all cuts of that series.  ``split_above=None`` says the caller knows every series to
+    and one sort away from their features.  Series of more than ``split_above`` rows are numbered
+    through a range sort and cut into blocks of so many rows (at least as many as a frame
+    reaches); a block also gets the few rows of its neighbours that its frames reach, so tasks
+    grow in number with the rows and no row is compared with the cuts of its series.
+    ``split_above=None`` says the caller knows every series to
     be short.
     """
     whole = Window.partitionBy(series).orderBy(*order)
@@ -79,45 +80,42 @@ def sequence_features(
     )
     if seen["most"] is None:
         return df.withColumns(plain)
-    parts = -(-seen["most"] // split_above)
-    micros = F.unix_micros(F.col(order[0]).cast("timestamp"))
-    same = F.col(series).eqNullSafe(F.col("_hot"))
-    shares = [k / parts for k in range(1, parts)]
-    hot = cut_lineage(
-        df.join(broadcast_if_small(long_ones.select("_hot"), stored=True), same)
-        .groupBy("_hot")
-        .agg(F.percentile_approx(micros, shares, 10 * parts).alias("_cuts"))
-    )
-    cut = (
-        df.join(broadcast_if_small(hot, stored=True), same, "left")
-        .withColumn("_split", F.col("_hot").isNotNull() | F.col("_cuts").isNotNull())
-        .withColumn("_stretch", F.when(F.col("_split"), F.size(F.filter("_cuts", lambda c: c < micros))))
-        .withColumn("_stretch", F.when(F.col(order[0]).isNotNull(), F.col("_stretch")))
-        .drop("_hot", "_cuts")
-    )
-    inside = Window.partitionBy(series, "_split", "_stretch").orderBy(*order)
-    back = max([*lags, roll])
-
-    def near(rows_back: int, rows_ahead: int) -> Column:
-        """Within so many rows of the start or the end of a stretch of a split series."""
-        one = F.lit(1)
-        close = (
-            F.lag(one, rows_back).over(inside).isNull()
-            | F.lead(one, rows_ahead).over(inside).isNull()
-        )
-        return F.col("_split") & close
-
-    marked = cut.withColumns(
-        {"_near_cut": near(back, horizon), "_around": near(back + horizon, back + horizon)}
+    is_hot = F.col(series).eqNullSafe(F.col("_hot"))
+    hot = broadcast_if_small(long_ones.select("_hot"), stored=True)
+    short = df.join(hot, is_hot, "left_anti").withColumns(plain)
+    placed = _placed(df.join(hot, is_hot, "left_semi"), [series, *order])
+    rows = max(split_above, horizon, roll, *lags)
+    back, at = max([*lags, roll]), F.col("_place") % rows
+    own = F.floor(F.col("_place") / rows)
+    # A row is sent to the block before or after its own where a frame of that block reaches it.
+    blocks = F.array_compact(
+        F.array(own, F.when(at >= rows - back, own + 1), F.when(at < horizon, own - 1))
     )
+    sent = placed.withColumns({"_own": own, "_block": F.explode(blocks)})
+    inside = Window.partitionBy(series, "_block").orderBy("_place")
+    cut = sent.withColumns(_row_features(inside, value, lags, roll, horizon)).where("_own = _block")
     kept = [*df.columns, *plain]
-    settled = (
-        marked.withColumns(_row_features(inside, value, lags, roll, horizon))
-        .where(~F.col("_near_cut"))
-        .select(*kept)
-    )
-    mended = marked.where("_around").withColumns(plain).where("_near_cut").select(*kept)
-    return settled.unionByName(mended)
+    return short.select(*kept).unionByName(cut.select(*kept))
+
+
+def _placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows with ``_place``, their number from 0 in the order of ``order``, stored.
+
+    Rows are ranged over the tasks and sorted there; the rows of the tasks before are added to a
+    row's place in its own task, so only the counts of the tasks are ever ordered as a whole.
+    """
+    path = scratch_path(df.sparkSession, "placed")
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    stored = df.sparkSession.read.schema(StructType([*df.schema.fields, StructField("_at", LongType())])).parquet(path)
+    # The upper bits of such an id are the number of the task, the lower ones count its rows.
+    task = F.shiftright("_at", 33)
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("n"))
+    shifts = sizes.select("_task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_shift"))
+    in_task = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    found = stored.join(broadcast_if_small(shifts), task == F.col("_task"))
+    return found.withColumn("_place", F.col("_shift") + in_task).drop("_at", "_task", "_shift")
 
 
 def clock_lags(

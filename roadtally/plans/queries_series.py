@@ -91,7 +91,7 @@ def lead_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM events"""
 )
 def hot_series_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few series with a large share of the rows each, cut by day and mended at the cuts."""
+    """Few series with a large share of the rows each, cut into blocks of so many rows."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
     rows = ops.sequence_features(
         events, "event_type", ["ts", "event_id"], "value", split_above=100

@@ -122,3 +122,16 @@ def test_rows_without_a_time_when_a_series_is_cut(spark, split_above):
         return sorted(str([round(x, 9) if isinstance(x, float) else x for x in r]) for r in rows)
 
     assert shown(cut) == shown(plain)
+
+
+def test_a_series_of_one_timestamp_is_cut_without_comparing_rows_with_cuts(spark):
+    rows = [("a", START, k, float(k % 7)) for k in range(3_000)]
+    df = spark.createDataFrame(rows, "sid string, ts timestamp, tie int, v double").repartition(3)
+    out = ops.sequence_features(df, "sid", ["ts", "tie"], "v", split_above=40)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert "_cuts" not in plan and any("_block" in line for line in windows)
+    got = {r.tie: r for r in out.collect()}
+    assert len(got) == len(rows)
+    assert all(got[k].lag_24h == (rows[k - 24][3] if k >= 24 else None) for k in got)
+    assert all(got[k].y_t_plus_1h == (rows[k + 1][3] if k + 1 < len(rows) else None) for k in got)
