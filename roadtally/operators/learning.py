@@ -17,6 +17,10 @@ from roadtally.schemas import FOLD_METRICS
 
 SEED = 42
 
+# Rows a task of a fit gets at least: trees take a job for each level of each tree, and many tasks
+# of few rows cost more than the rows.
+TASK_ROWS = 50_000
+
 # The parameters of the models.
 LINEAR = {"maxIter": 100, "regParam": 0.1, "elasticNetParam": 0.0, "standardization": True}
 BOOSTED_FOLDS = {
@@ -77,6 +81,11 @@ def scaled_boosting(label: str, features: Sequence[str], **changes) -> Pipeline:
     )
 
 
+def in_tasks(df: DataFrame, n_rows: int) -> DataFrame:
+    """A persisted table in no more partitions than its rows fill, without a shuffle."""
+    return df.coalesce(max(1, -(-n_rows // TASK_ROWS)))
+
+
 def row_bucket(*key: str) -> Column:
     """A number from 0 to 2**32 - 1 told by the row's key alone, the same on any layout."""
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
@@ -155,9 +164,10 @@ def walk_forward(
     rows = df.where(F.col(label).isNotNull() & F.col(ts).isNotNull())
     rows = rows.withColumns({c: F.col(c).cast("double") for c in [label, *features]})
     ready = vectors(features, "skip").transform(rows).select(ts, label, "features")
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    held = ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         scores = []
+        ready = in_tasks(ready, ready.count())
         bounds = walkforward_folds(ready, ts, n_folds, test_days).orderBy("fold").collect()
         for fold, train_end, test_end in bounds:
             train, test = fold_split(ready, ts, train_end, test_end)
@@ -176,7 +186,7 @@ def walk_forward(
             raise ValueError("no fold had both training and test rows")
         return df.sparkSession.createDataFrame(scores, FOLD_METRICS)
     finally:
-        ready.unpersist()
+        held.unpersist()
 
 
 def score_last_days(
@@ -204,7 +214,7 @@ def score_last_days(
         if n_train == 0 or score.isEmpty():
             raise ValueError(f"empty split: {n_train} training rows; try fewer score days")
         trees = boosted(label, BOOSTED_SCORING, **changes).setPredictionCol("y_pred")
-        model = Pipeline(stages=[vectors(features, "keep"), trees]).fit(train)
+        model = Pipeline(stages=[vectors(features, "keep"), trees]).fit(in_tasks(train, n_train))
     finally:
         train.unpersist()
     renamed = {"start_junction_road_name": "from_node", "end_junction_road_name": "to_node"}

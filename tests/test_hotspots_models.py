@@ -183,3 +183,11 @@ def test_exact_quantiles_of_null_keys_and_nan(spark, monkeypatch, few):
             assert got[k] == want or (want != want and got[k] != got[k]), (q, k)
     capped = cleaning.cap_by_key(df, "k", "v", 0.5).where("k is null").agg(F.max("v")).first()[0]
     assert capped == 4.0
+
+
+def test_fits_take_as_many_tasks_as_their_rows_fill(spark, monkeypatch):
+    monkeypatch.setattr(learning, "TASK_ROWS", 40)
+    rows = spark.range(0, 100, 1, 64)
+    assert learning.in_tasks(rows, 100).rdd.getNumPartitions() == 3
+    assert learning.in_tasks(rows, 0).rdd.getNumPartitions() == 1
+    assert sorted(r["id"] for r in learning.in_tasks(rows, 100).collect()) == list(range(100))
