@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -477,7 +478,11 @@ def scaled_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = "all_motor_vehicles"
     rows = learning.model_rows(point_features(spark, sf_dir), label, features, ["ts_hour"])
     train, test = learning.random_split(rows, ["ts_hour", *features, label])
-    model = learning.scaled_boosting(label, features).fit(train)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)  # read by the scaler, the bins and the trees
+    try:
+        model = learning.scaled_boosting(label, features).fit(learning.in_tasks(train, train.count()))
+    finally:
+        train.unpersist()
     return metrics.regression_scores(model.transform(test), label, "prediction")
 
 
