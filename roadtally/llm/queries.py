@@ -355,8 +355,8 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels of three quarters of the ids."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    rows = toxicity.fitting_texts(docs, labels.where(part != 2), "doc_id", "text", "lang", "doc_id", "toxic")
-    found = toxicity.score_toxicity(docs, toxicity.learn(rows), "doc_id", "text", "lang")
+    texts = toxicity.labelled_texts(docs, labels.where(part != 2), "doc_id", "text", "lang", "doc_id", "toxic")
+    found = toxicity.score_toxicity(docs, toxicity.learn_from(texts), "doc_id", "text", "lang")
     return found.withColumnRenamed("id", "doc_id").select(
         "doc_id",
         F.coalesce(part == 2, F.lit(False)).alias("held_out"),

@@ -237,6 +237,28 @@ def test_the_fitted_texts_are_bounded(spark):
     assert 300 < len(rows) < 700 and all(r["id"] >= 0 for r in rows)
 
 
+@pytest.mark.parametrize("part_bytes", [10_000, 1_000_000])
+def test_all_parts_are_learned_from(spark, part_bytes):
+    rows = toxic_texts(1200)
+    texts = spark.createDataFrame([r for r in rows if r[0] % 4 != 2], "id long, lang string, toxic int, text string")
+    net = toxicity.learn_from(texts, part_bytes=part_bytes)
+    held = [r for r in rows if r[0] % 4 == 2]
+    scores = net.score(toxicity.WordTable(net).pooled([toxicity.folded_words(r[3]) for r in held]))
+    said, true = scores >= 0.3, np.array([r[2] for r in held]) == 1
+    assert said[true].mean() > 0.95 and said[~true].mean() < 0.03
+    assert 0 <= toxicity.learn_from(texts.where("toxic = 0")).score(np.zeros((1, 18)))[0] < 0.3
+    assert toxicity.learn_from(texts.limit(0)).score(np.zeros((1, 18)))[0] == 0.5
+
+
+def test_long_texts_are_learned_from(spark, tmp_path):
+    plain = "one two three four five six seven eight nine ten "
+    rows = [(i, plain * (28_000 if i < 16 else 2) + ("scoundrel" if i < 16 else ""), "en") for i in range(120)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i < 16)) for i in range(120)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op12_toxicity"](spark, str(tmp_path)).collect()}
+    assert min(got[i] for i in range(16)) > 0.3 > max(got[i] for i in range(16, 120))
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no driver tables")
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.1"
