@@ -9,7 +9,7 @@ import random
 import pytest
 
 from roadtally.operators import graph, layers, paths, routes
-from roadtally.plans import queries_routes
+from roadtally.plans import queries_routes, stand_ins
 
 RATE = 0.5217391304347826
 GOLDEN = [
@@ -349,3 +349,36 @@ def test_the_registered_comparison_is_whole(spark, tmp_path):
     assert {r.to_node: (r.reachable, r.short_n_edges) for r in found.collect()} == {
         "N1": (True, 1), "N2": (True, 2), "N5": (False, None), "N6": (False, None),
     }
+
+
+def test_links_and_flags_are_grouped_in_one_pass(spark, tmp_path):
+    """No join, one shuffle, and the edges of the table of links joined with the table of rates."""
+    sf_dir = str(tmp_path)
+    spark.range(400).selectExpr(
+        "nullif(id % 13, 12) AS l_partkey", "nullif(id % 7, 6) AS l_suppkey", "nullif(id % 5, 4) + 0.5D AS l_quantity",
+        "id * 1.0D AS l_extendedprice", "if(id % 3 = 0, 0.10D, 0.05D) AS l_discount", "if(id % 4 = 0, 0.08D, 0.02D) AS l_tax",
+        "nullif(if(id % 11 < 6, 'R', 'N'), if(id % 17 = 0, 'N', 'x')) AS l_returnflag",
+        "CASE WHEN id % 19 = 0 THEN NULL WHEN id % 8 < 5 THEN 'O' ELSE 'F' END AS l_linestatus",
+    ).write.parquet(f"{sf_dir}/lineitem.parquet")
+    rows = stand_ins.weighted(spark, sf_dir)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.split("Initial Plan")[-1].count("Exchange") == 1
+    joined = graph.weight_edges(graph.edge_table(stand_ins.links(spark, sf_dir)), stand_ins.rates(spark, sf_dir))
+    assert rows.schema == joined.schema and rows.count() == joined.count() > 50
+    assert rows.exceptAll(joined).isEmpty() and joined.exceptAll(rows).isEmpty()
+
+
+def test_nodes_of_a_search_come_from_one_scan(spark):
+    edges = spark.createDataFrame(
+        [("a", "b", 1.0), ("b", "b", 1.0), ("c", "b", 1.0), ("d", "d", 1.0), ("b", "e", 2.0)], "src string, dst string, km double"
+    )
+    nodes = paths.entered_nodes(edges)
+    assert {tuple(r) for r in nodes.collect()} == {("a", False), ("b", True), ("c", False), ("d", False), ("e", True)}
+    starts, costs = spark.createDataFrame([("a",)], "source string"), {"km": "km"}
+    found = paths.shortest_paths(edges, starts, costs, nodes=nodes)
+    assert {r["node"]: r["dist"] for r in found.collect()} == {"a": 0.0, "b": 1.0, "e": 3.0}
+    kept = paths.enterable_arcs(edges, starts, nodes=nodes)
+    assert {(r["src"], r["dst"]) for r in kept.collect()} == {("a", "b"), ("b", "e")}
+    with pytest.raises(ValueError):
+        paths.shortest_paths(edges, starts.replace("a", "z"), costs, nodes=nodes)
+    assert paths.all_targets(edges, ["a"], nodes=nodes).count() == 4
