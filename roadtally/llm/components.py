@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from roadtally.session import cut_and_measure, cut_lineage
+from roadtally.session import cut_and_measure, cut_lineage, in_few_tasks
 
 MAX_ROUNDS = 60
 
@@ -34,7 +34,8 @@ def components(links: DataFrame) -> DataFrame:
     ``links`` is ``u, v``, in any direction; repeated links and loops do no harm, rows with a null
     are ignored. Large-star and small-star rounds alternate until nothing changes; then every node
     is linked to its component's smallest. A node without links has no row. Minima are taken
-    before rows move, so a node with many links makes no large task of its own.
+    before rows move, so a node with many links makes no large task of its own. A step of a round
+    makes no more rows than the round has links and runs in as many tasks as these fill.
     """
     links = links.where(F.col("u") != F.col("v")).select("u", "v").distinct()
     mark = {"n": F.count(F.lit(1)), "sum": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))}
@@ -43,11 +44,15 @@ def components(links: DataFrame) -> DataFrame:
         if not seen["n"]:
             break
         before = seen
-        stars = _small_star(_large_star(links).distinct()).where(F.col("u") != F.col("v")).distinct()
-        links, seen = cut_and_measure(stars, **mark)
+        rows = 2 * seen["n"]  # both ways
+        large = in_few_tasks(in_few_tasks(_large_star(in_few_tasks(links, rows)), rows).distinct(), rows)
+        small = in_few_tasks(_small_star(large).where(F.col("u") != F.col("v")), rows).distinct()
+        links, seen = cut_and_measure(in_few_tasks(small, rows), **mark)
         if seen == before:
             break
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+    links = in_few_tasks(links, seen["n"])
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return cut_lineage(links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots))
+    nodes = links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+    return cut_lineage(in_few_tasks(nodes, 2 * seen["n"]))

@@ -20,7 +20,7 @@ from roadtally.llm.batches import parts
 from roadtally.llm.columns import narrow
 from roadtally.llm.components import components
 from roadtally.llm.shingles import fold, point, set_key, shingle_set
-from roadtally.session import broadcast_if_small, cut_lineage, scratch_path
+from roadtally.session import broadcast_if_small, cut_lineage, cut_to_few_tasks, scratch_path
 
 # Links: 100 * intersection >= 80 * union, so 9 * intersection >= 4 * (sum of the sizes).
 PERCENT = 80
@@ -248,7 +248,7 @@ def _strips(placed: DataFrame, most: int) -> DataFrame:
 
 def _units(placed: DataFrame, most: int) -> DataFrame:
     """``unit, k, n, component, strip``: what a task compares, two strips of one cell at most."""
-    rows = cut_lineage(_strips(placed, most))
+    rows = cut_to_few_tasks(_strips(cut_to_few_tasks(placed), most))
     boxes = rows.groupBy("cell", "strip").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"), F.max("n").alias("most")
     )
@@ -407,7 +407,7 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     order[[r["cell"] for r in times]] = [r["times"] for r in times]
 
     full = each.where((F.col("n") > 0) & F.col("id").isNotNull())
-    sets = cut_lineage(full.groupBy("k", "k2").agg(F.min("id").alias("id"), F.first("n").alias("n")))
+    sets = cut_to_few_tasks(full.groupBy("k", "k2").agg(F.min("id").alias("id"), F.first("n").alias("n")))
     repeats = not full.groupBy("id").count().where("count > 1").isEmpty()
 
     def points(keys: DataFrame) -> DataFrame:
@@ -416,7 +416,7 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         found = full.join(wanted, ["k", "k2", "id"]).select("k", "k2", "n", "point")
         return cut_lineage((found.dropDuplicates(["k", "k2"]) if repeats else found).drop("k2"))
 
-    stars = cut_lineage(_stars(_meetings(named, order)))
+    stars = cut_to_few_tasks(_stars(_meetings(named, order)))
     tried = stars.where(F.col("lead") != F.col("k")).select(F.least("lead", "k").alias("a"), F.greatest("lead", "k").alias("b"))
     sizes = {x: sets.select(F.col("k").alias(x), F.col("n").alias(f"n_{x}")) for x in ("a", "b")}
     fits = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
@@ -425,21 +425,21 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     with_points = tried
     for x in ("a", "b"):
         with_points = with_points.join(of_tried.select(F.col("k").alias(x), F.col("point").alias(f"point_{x}")), x)
-    proposed = cut_lineage(_bounded(with_points))
+    proposed = cut_to_few_tasks(_bounded(with_points))
     ends = proposed.select(F.explode(F.array("a", "b")).alias("k"))
-    star_links = cut_lineage(_verified(proposed, _known(named, sets, ends, repeats)))
+    star_links = cut_to_few_tasks(_verified(proposed, _known(named, sets, ends, repeats)))
 
     repeated = full.groupBy("id").agg(F.min("k").alias("low"), F.max("k").alias("high")).where("low != high").select("id")
     of_set = sets.select("k", "k2", F.col("id").alias("v"))
     same_id = full.join(repeated, "id").join(of_set, ["k", "k2"]).select(F.col("id").alias("u"), "v")
     known = components(star_links.union(same_id))
 
-    member = sets.join(known, sets["id"] == known["node"], "left").select(
-        "k", "n", F.coalesce("component", "id").alias("component")
+    member = cut_to_few_tasks(
+        sets.join(known, sets["id"] == known["node"], "left").select("k", "n", F.coalesce("component", "id").alias("component"))
     )
     placed = stars.where(F.col("meeting").isNotNull()).select(F.col("meeting").alias("cell"), "k").distinct().join(member, "k")
     units = _units(placed, STRIP)
-    groups = cut_lineage(_candidates(units, points(units.select("k")).drop("n")))
+    groups = cut_to_few_tasks(_candidates(units, points(units.select("k")).drop("n")))
     units = _units(groups.join(member, "k"), SET_STRIP)
     found = _links(units, _known(named, sets, groups.select("k"), repeats))
     ids = {x: sets.select(F.col("k").alias(x), F.col("id").alias(y)) for x, y in (("a", "u"), ("b", "v"))}
